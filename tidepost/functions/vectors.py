@@ -31,13 +31,18 @@ def subtract(a: Column, b: Column) -> Column:
 
 
 def divide(v: Column, by: Column) -> Column:
-    return F.transform(v, lambda x: x / by)
+    """Each component divided by one number.
 
+    The number enters as a repeated array: inside the lambda its expression
+    would be computed again for every component.
+    """
+    return F.zip_with(v, F.array_repeat(by, F.size(v)), lambda x, y: x / y)
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine similarity; zero if either vector is zero."""
-    lengths = norm(a) * norm(b)
-    return F.when(lengths > 0, dot(a, b) / lengths).otherwise(F.lit(0.0))
+
+def unit(v: Column) -> Column:
+    """The vector at length one; a zero vector stays zero."""
+    length = norm(v)
+    return divide(v, F.when(length > 0, length).otherwise(F.lit(1.0)))
 
 
 def round_vector(v: Column, digits: int = 6) -> Column:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -33,22 +34,29 @@ class Clustering:
 
 
 def kmeans(df: DataFrame, key: str = "row_id", vector: str = "vector", k: int = CLUSTERS,
-           restarts: int = RESTARTS, seed: int = SEED, max_iter: int = 300) -> Clustering:
-    """Euclidean K-means on the vectors; the run with the lowest cost wins."""
+           restarts: int = RESTARTS, seed: int = SEED, max_iter: int = 300, parallelism: int = 4) -> Clustering:
+    """Euclidean K-means on the vectors; the run with the lowest cost wins.
+
+    Runs are independent Spark jobs; a few are submitted at a time.
+    """
     require_columns(df, key, vector)
-    features = df.filter(F.col(vector).isNotNull()).select(key, array_to_vector(V.as_double(F.col(vector))).alias("features"))
+    features = df.filter(F.col(vector).isNotNull()).select(
+        key, array_to_vector(V.as_double(F.col(vector))).alias("features")
+    )
     # Every run reads the same rows again.
     features = features.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def fit(run: int) -> KMeansModel:
+        return KMeans(k=k, seed=seed + run, maxIter=max_iter, predictionCol="cluster").fit(features)
+
     try:
-        models = [
-            KMeans(k=k, seed=seed + run, maxIter=max_iter, tol=1e-4).fit(features) for run in range(restarts)
-        ]
+        with ThreadPool(min(parallelism, restarts)) as pool:
+            models = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(restarts))
     finally:
         features.unpersist()
     costs = [model.summary.trainingCost for model in models]
     best = models[costs.index(min(costs))]
-    assigned = best.setPredictionCol("cluster").transform(features).select(key, "cluster")
-    return Clustering(best, costs, assigned)
+    return Clustering(best, costs, best.transform(features).select(key, "cluster"))
 
 
 def cluster_families(df: DataFrame, key: str, k: int = 3, restarts: int = 1, seed: int = SEED) -> DataFrame:

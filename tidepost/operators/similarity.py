@@ -8,8 +8,6 @@ blocks is one task of fixed size, and a task returns a summary, never pairs.
 
 from __future__ import annotations
 
-from functools import partial
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -63,13 +61,7 @@ def center_vectors(df: DataFrame, vector: str = "vector", mean: DataFrame | None
 
 def unit_vectors(df: DataFrame, vector: str, out: str = "unit") -> DataFrame:
     """Add the vector scaled to length one; a zero vector stays zero."""
-    sized = df.withColumn("_v", V.as_double(F.col(vector))).withColumn("_norm", V.norm(F.col("_v")))
-    scale = F.when(F.col("_norm") > 0, F.lit(1.0) / F.col("_norm")).otherwise(F.lit(0.0))
-    return (
-        sized.withColumn("_scale", scale)
-        .withColumn(out, F.transform("_v", lambda x: x * F.col("_scale")))
-        .drop("_v", "_norm", "_scale")
-    )
+    return df.withColumn(out, V.unit(V.as_double(F.col(vector))))
 
 
 def random_sample(df: DataFrame, key: str, size: int, seed: int = 42) -> DataFrame:
@@ -284,7 +276,10 @@ def block_tasks(df: DataFrame, key: str, vector: str, block_rows: int = BLOCK_RO
 
 
 def _run_blocks(tasks: DataFrame, summary: RowSummary | BinCounts) -> DataFrame:
-    return tasks.groupBy("block_i", "block_j").applyInArrow(partial(_block_task, summary), summary.schema)
+    def task(table: pa.Table) -> pa.Table:
+        return _block_task(summary, table)
+
+    return tasks.groupBy("block_i", "block_j").applyInArrow(task, summary.schema)
 
 
 def _bin_table(tasks: DataFrame, low: float, high: float, bins: int) -> list:
@@ -406,11 +401,18 @@ def lower_triangle(cells: DataFrame) -> DataFrame:
 
 def query_corpus_scores(df: DataFrame, query: DataFrame, vector: str = "vector",
                         out: str = "similarity") -> DataFrame:
-    """Add the cosine of each row to the single vector of the one-row table `query` (`vector`)."""
+    """Add the cosine of each row to the single vector of the one-row table `query` (`vector`).
+
+    The query enters the scan as a constant: no join.  A zero vector scores 0.
+    """
     require_columns(df, vector)
-    scored = df.withColumn("_query", V.as_double(query.select("vector").scalar()))
-    scored = scored.withColumn("_v", V.as_double(F.col(vector)))
-    return scored.withColumn(out, V.cosine(F.col("_v"), F.col("_query"))).drop("_query", "_v")
+    wanted = query.select(V.unit(V.as_double(F.col("vector"))).alias("vector"))
+    v = V.as_double(F.col(vector))
+    length = V.norm(v)
+    scored = df.withColumn("_query", wanted.scalar())
+    return scored.withColumn(
+        out, V.dot(v, F.col("_query")) / F.when(length > 0, length).otherwise(F.lit(1.0))
+    ).drop("_query")
 
 
 def semantic_search(corpus: DataFrame, query: DataFrame, key: str = "row_id", vector: str = "vector",
