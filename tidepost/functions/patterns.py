@@ -15,6 +15,8 @@ MENTION = rf"@[{WORD}]+"
 HASHTAG = rf"#[{WORD}]+"
 HASHTAG_BODY = rf"#([{WORD}]+)"
 SPACES = rf"[{SPACE}]+"
+# The same characters as SPACES; Java finds them faster in this form.
+FAST_SPACES = r"(?U)[\s\x1C-\x1F]+"
 EDGE_SPACES = rf"^[{SPACE}]+|[{SPACE}]+$"
 NOT_WORD_OR_SPACE = rf"[^{WORD}{SPACE}]"
 ANY_WORD = rf"[{WORD}]"

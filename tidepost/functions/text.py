@@ -30,7 +30,7 @@ def split_pipe(c: Column) -> Column:
 
 def collapse_spaces(c: Column) -> Column:
     """One blank for every run of space characters, none at the ends."""
-    return F.btrim(F.regexp_replace(c, P.SPACES, " "))
+    return F.btrim(F.regexp_replace(c, P.FAST_SPACES, " "))
 
 
 def redact_text(c: Column) -> Column:
@@ -68,7 +68,7 @@ def remove_urls(c: Column) -> Column:
 def remove_numeric_chunks(c: Column) -> Column:
     """Drop the whitespace-separated chunks that are digits only."""
     chunks = F.filter(
-        F.split(c, P.SPACES), lambda chunk: (chunk != "") & ~chunk.rlike(P.ONLY_DIGITS)
+        F.split(c, P.FAST_SPACES), lambda chunk: (chunk != "") & ~chunk.rlike(P.ONLY_DIGITS)
     )
     return F.array_join(chunks, " ")
 

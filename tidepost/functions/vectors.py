@@ -71,4 +71,4 @@ def to_json_text(c: Column) -> Column:
 
 def to_sorted_json_text(c: Column) -> Column:
     """JSON text of a map column with its keys in ascending order."""
-    return F.to_json(F.map_from_entries(F.array_sort(F.map_entries(c))))
+    return F.to_json(F.map_from_entries(F.sort_array(F.map_entries(c))))

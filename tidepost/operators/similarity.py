@@ -386,7 +386,7 @@ def similarity_sample_matrix(df: DataFrame, key: str = "row_id", vector: str = "
         raise ValueError(f"a sampled matrix has at most {MAX_SAMPLE} rows")
     sample = unit_vectors(random_sample(df.select(key, vector), key, size, seed), vector)
     # One array of at most `size` entries, opened twice.
-    gathered = sample.agg(F.array_sort(F.collect_list(F.struct(F.col(key).alias("key"), "unit"))).alias("all"))
+    gathered = sample.agg(F.sort_array(F.collect_list(F.struct(F.col(key).alias("key"), "unit"))).alias("all"))
     cells = gathered.select("all", F.explode("all").alias("a")).select("a", F.explode("all").alias("b"))
     return cells.select(
         F.col("a.key").alias("i"), F.col("b.key").alias("j"),

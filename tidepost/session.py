@@ -53,6 +53,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/tidepost/{name}-{uuid.uuid4().hex}"
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def fills_cluster(df) -> bool:
     """True if the estimated input makes at least one default file split per core.
 
@@ -65,14 +70,14 @@ def fills_cluster(df) -> bool:
     return estimate >= spark.sparkContext.defaultParallelism * SPLIT_BYTES
 
 
-def spread(df, key: str):
+def spread(df, *key: str):
     """Deal a small input out over all cores before costly row-wise work.
 
     An input that fills the cluster by its own splits is left alone: no shuffle.
     """
     if fills_cluster(df):
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *key)
 
 
 def deal_by_key(df, key: str):
