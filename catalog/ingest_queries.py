@@ -8,6 +8,7 @@ from catalog import sqltext as Q
 from catalog.base import LEDGER_SQL, POSTS_SQL, ledger, posts, query, table
 from tidepost import schemas
 from tidepost.operators import ledger as L
+from tidepost.operators.encoder import concat_results as concat_tables
 from tidepost.operators.row_ids import migrate_add_row_id
 from tidepost.functions import text as T
 from tidepost.session import scratch_path
@@ -313,11 +314,9 @@ SELECT doc_id AS id, 'documents' AS origin, length(text) AS chars FROM documents
 UNION ALL SELECT item_id, 'benchmark', length(text) FROM benchmark
 UNION ALL SELECT conv_id * 1000 + turn, 'conversations', length(text) FROM conversations""")
 def concat_results(spark, folder):
-    from tidepost.operators.encoder import concat_results as concat
-
     chars = F.length("text").cast("bigint").alias("chars")
     part = lambda name, key: table(spark, folder, name).select(key.alias("id"), F.lit(name).alias("origin"), chars)
-    return concat([
+    return concat_tables([
         part("documents", F.col("doc_id")), part("benchmark", F.col("item_id")),
         part("conversations", F.col("conv_id") * 1000 + F.col("turn")),
     ])

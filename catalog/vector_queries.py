@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from catalog import sqltext as Q
-from catalog.base import VECTORS_SQL, posts, query, rounded, table, vectors
+from catalog.base import POSTS_SQL, VECTORS_SQL, posts, query, rounded, table, vectors
+from catalog.text_queries import CLEAN_CTES
 from tidepost.functions import text as T, vectors as V
+from tidepost.operators.clean import clean_corpus
 from tidepost.operators import (
     clusters as C, encoder as E, projection as P, similarity as S, tfidf as X, word_vectors as W,
 )
+from tidepost.operators.vector_sums import vector_sum
 from tidepost.session import materialize, scratch_path
 from tidepost.sinks.posts import write_stage_metadata
 
@@ -58,24 +61,43 @@ def tfidf(spark, folder):
     return weights.select("doc_id", F.explode("tfidf").alias("term", "weight"))
 
 
-@query("normalize_corpus", f"""SELECT doc_id, {Q.normalize('text')} AS normalized_text FROM documents""")
+def _weights_sql(source: str) -> str:
+    """CTEs from (row_id, text) to TF-IDF `weights`."""
+    return f"""w_tokens AS (SELECT row_id, unnest(regexp_extract_all(text, {Q.lit(T.P.FEATURE_TOKEN)})) AS term FROM {source}),
+w_counts AS (SELECT row_id, term, count(*) AS tf FROM w_tokens GROUP BY 1, 2),
+w_totals AS (SELECT term, sum(tf) AS corpus_tf, count(*) AS df FROM w_counts GROUP BY 1),
+w_terms AS (SELECT term, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM w_totals, (SELECT count(*) AS n FROM {source})
+  WHERE df >= 2 AND df <= 0.85 * n ORDER BY corpus_tf DESC, term LIMIT {MAX_FEATURES}),
+w_raw AS (SELECT row_id, term, tf * idf AS w FROM w_counts JOIN w_terms USING (term)),
+weights AS (SELECT row_id, term, round_even(w / sqrt(sum(w * w) OVER (PARTITION BY row_id)), 6) AS weight FROM w_raw)"""
+
+
+@query("normalize_corpus", f"""WITH {POSTS_SQL}, {CLEAN_CTES},
+normalized AS (SELECT row_id, {Q.normalize('stemmed')} AS text FROM clean), {_weights_sql('normalized')}
+SELECT row_id, text AS normalized_text, coalesce(terms, 0) AS terms, coalesce(total, 0.0) AS total FROM normalized
+LEFT JOIN (SELECT row_id, count(*) AS terms, round(sum(weight), 6) AS total FROM weights GROUP BY 1) USING (row_id)""")
 def normalize_corpus(spark, folder):
-    d = table(spark, folder, "documents").select("doc_id", F.col("text").alias("stemmed_text"))
-    return X.normalize_corpus(d, "doc_id").select("doc_id", "normalized_text")
+    cleaned = clean_corpus(posts(spark, folder).select("row_id", "text"), stop_words=Q.STOP_WORDS)
+    # Stored like the first stage: the second reads its stems more than once.
+    cleaned = materialize(cleaned.select("row_id", "stemmed_text"), "stems")
+    done = X.normalize_corpus(cleaned)
+    weights = F.map_values("tfidf")
+    return done.select(
+        "row_id", "normalized_text", F.size(weights).cast("bigint").alias("terms"),
+        F.round(F.aggregate(weights, F.lit(0.0), lambda s, x: s + x), 6).alias("total"),
+    )
 
 
 @query("top_terms_per_language", f"""WITH {TFIDF_SQL},
-sums AS (SELECT lang, term, round(sum(weight), 4) AS weight FROM tfidf JOIN documents USING (doc_id) GROUP BY 1, 2)
+sums AS (SELECT lang, term, round(sum(weight), 6) AS weight FROM tfidf JOIN documents USING (doc_id) GROUP BY 1, 2)
 SELECT lang, CAST(rank AS INTEGER) AS rank, term, weight FROM (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY weight DESC, term) AS rank FROM sums) WHERE rank <= 10""")
 def top_terms_per_language(spark, folder):
     d = table(spark, folder, "documents")
     weights = X.tfidf(d, "text", "doc_id").select("doc_id", F.explode("tfidf").alias("term", "weight"))
     sums = weights.join(d.select("doc_id", "lang"), "doc_id").groupBy("lang", "term").agg(
-        F.round(F.sum("weight"), 4).alias("weight")
+        F.round(F.sum("weight"), 6).alias("weight")
     )
-    from pyspark.sql import Window
-
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("weight"), "term"))
     return sums.withColumn("rank", rank).filter("rank <= 10").select("lang", "rank", "term", "weight")
 
@@ -421,8 +443,6 @@ def cluster_families(spark, folder):
 
 
 def label_centroids(spark, folder):
-    from tidepost.operators.vector_sums import vector_sum
-
     v = vectors(spark, folder).withColumn("vector", V.as_double(F.col("vector")))
     sums = v.groupBy(F.col("label").alias("cluster")).agg(
         vector_sum(F.col("vector")).alias("s"), F.count(F.lit(1)).alias("n")

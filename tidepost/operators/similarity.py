@@ -8,6 +8,8 @@ blocks is one task of fixed size, and a task returns a summary, never pairs.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -259,10 +261,17 @@ def _block_task(summary: RowSummary | BinCounts, table: pa.Table) -> pa.Table:
     return pa.table(summary.result(), schema=fields)
 
 
+def block_count(rows: int, block_rows: int, cores: int) -> int:
+    """Blocks of at most about `block_rows`; smaller ones if that leaves cores idle."""
+    for_size = -(-rows // block_rows)
+    for_cores = min(-(-rows // STRIP_ROWS), math.isqrt(2 * cores))
+    return max(1, for_size, for_cores)
+
+
 def block_tasks(df: DataFrame, key: str, vector: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Copies of the unit vectors, one for each pair of blocks they take part in."""
     df = df.filter(F.col(vector).isNotNull())
-    blocks = max(1, -(-df.count() // block_rows))
+    blocks = block_count(df.count(), block_rows, df.sparkSession.sparkContext.defaultParallelism)
     units = unit_vectors(df, vector).select(
         F.col(key).cast("bigint").alias("key"),
         F.pmod(F.xxhash64(F.col(key)), F.lit(blocks)).cast("int").alias("_own"), "unit",
