@@ -13,7 +13,7 @@ from tidepost.operators import (
     clusters as C, encoder as E, projection as P, similarity as S, tfidf as X, word_vectors as W,
 )
 from tidepost.operators.vector_sums import vector_sum
-from tidepost.session import materialize, scratch_path
+from tidepost.session import materialize, scratch_path, spread
 from tidepost.sinks.posts import write_stage_metadata
 
 # --- TF-IDF ----------------------------------------------------------------
@@ -240,7 +240,7 @@ def _long_sql(source: str, keys: str, vector: str = "vector") -> str:
 
 @query("encode_documents")
 def encode_documents(spark, folder):
-    p = posts(spark, folder)
+    p = spread(posts(spark, folder), "row_id")
     inputs = p.select("row_id", T.encoder_input(T.normalize_text(F.col("text")), F.col("hashtags")).alias("encoder_input"))
     return E.encode_documents(inputs, E.hashed_encoder(64)).select("row_id", "encoder_vector")
 
