@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepost import schemas
-from tidepost.operators import ledger as L
+from tidepost.operators import ledger as L, row_ids
 from tidepost.operators.anonymize import anonymize_posts
 from tidepost.operators.row_ids import assign_row_ids, migrate_add_row_id, short_ids
 from tidepost.sinks import posts as sinks
@@ -100,7 +100,9 @@ def test_migrate_keeps_rows_and_columns(spark):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, new.collect()))
 
 
-def test_short_ids_use_the_first_position(spark):
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_short_ids_use_the_first_position(spark, monkeypatch, hot):
+    monkeypatch.setattr(row_ids, "HOT_SENTENCES", hot)
     df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "c")], "pos int, s string")
     assert [r.sid for r in short_ids(df, "s", "pos").orderBy("pos").collect()] == ["S1", "S2", "S1", "S4"]
 
