@@ -63,7 +63,7 @@ def short_ids(df: DataFrame, sentence: str, position: str, out: str = "sid") ->
     )
     marked = df.join(F.broadcast(hot), sentence, "left")
     frequent = marked.filter(F.col("_hot").isNotNull()).withColumnRenamed("_hot", "_first")
-    rare = marked.filter(F.col("_hot").isNull()).drop("_hot").join(first.drop("_rows"), sentence)
+    rare = marked.filter(F.col("_hot").isNull()).drop("_hot").join(first.drop("_rows"), sentence, "left")
     return frequent.unionByName(rare).select(
         *df.columns, F.concat(F.lit("S"), F.col("_first").cast("string")).alias(out)
     )
