@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -37,20 +36,21 @@ def build_session(app_name: str, master: str | None = None, **conf: str) -> Spar
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    The cluster names it in `spark.checkpoint.dir`.  Only a local master may
-    fall back to a folder of this machine.
+    The cluster names it in `spark.checkpoint.dir`; where that is unset, the
+    SQL warehouse is the folder that driver and executors share.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("Set spark.checkpoint.dir to a folder that all executors can reach.")
-    return tempfile.mkdtemp(prefix="tidepost-")
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/scratch"
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, never reused between runs."""
-    return f"{shared_folder(spark).rstrip('/')}/tidepost/{name}-{uuid.uuid4().hex}"
+    """A new path below the shared folder, never reused between runs, deleted when the session's JVM ends."""
+    path = f"{shared_folder(spark).rstrip('/')}/tidepost/{name}-{uuid.uuid4().hex}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
