@@ -46,11 +46,17 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder, never reused between runs, deleted when the session's JVM ends."""
-    path = f"{shared_folder(spark).rstrip('/')}/tidepost/{name}-{uuid.uuid4().hex}"
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return path
+    """A new path below the shared folder, never reused between runs.
+
+    The application's scratch folder is deleted when its JVM ends.
+    """
+    root = f"{shared_folder(spark).rstrip('/')}/tidepost-{spark.sparkContext.applicationId}"
+    target = spark._jvm.org.apache.hadoop.fs.Path(root)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(target):
+        store.mkdirs(target)
+        store.deleteOnExit(target)
+    return f"{root}/{name}-{uuid.uuid4().hex}"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
