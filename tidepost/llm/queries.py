@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidepost.llm import byte_bpe, packing, simhash, token_files, topk
+from tidepost.llm import byte_bpe, packing, simhash, token_files, topk, url_tree
 from tidepost.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,8 +39,7 @@ def op1_token_files(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     model = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = byte_bpe.encode_texts(table(spark, folder, "documents"), *model)
-    return byte_bpe.decode_ids(encoded, *model).select(
+    return byte_bpe.round_trip(table(spark, folder, "documents"), *model).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -83,3 +82,64 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 @query
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, folder, "documents"), width=3, distance=2, seed=42)
+
+
+# The rules that the query is given (verdict, host, path).
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+@query
+def op6_url_tree(spark: SparkSession, folder: str) -> DataFrame:
+    return url_tree.filter_urls(table(spark, folder, "pages"), URL_RULES).drop("purity")
+
+
+def _url_sql() -> str:
+    """The same steps, level by level, as common table expressions."""
+    rules = sorted(URL_RULES, key=lambda r: -len(r[1]) - len(r[2]))
+    fits = [f"WHEN (host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}') THEN" for _, h, p in rules]
+    rule = "CASE " + " ".join(f"{f} '{h}{p}'" for f, (_, h, p) in zip(fits, rules)) + " END"
+    ruled = "CASE " + " ".join(f"{f} '{v}'" for f, (v, _, _) in zip(fits, rules)) + " END"
+    names = [f"s{i}" for i in range(url_tree.LEVELS + 1)]
+    parts = ", ".join([f"p[{i + 1}] AS s{i}" for i in range(url_tree.LEVELS)] + [f"CASE WHEN len(p) > {url_tree.LEVELS} THEN '**' END AS s{url_tree.LEVELS}"])
+    steps = [
+        """parsed AS (SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)""",
+        """split AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM parsed)""",
+        f"judged AS (SELECT page_id, host, path, {rule} AS rule, {ruled} AS ruled FROM split)",
+        f"""n0 AS (SELECT host, path, n, labelled, blocked, {parts} FROM (
+          SELECT host, path, count(*) AS n, count(ruled) AS labelled, count(*) FILTER (ruled = 'block') AS blocked,
+                 list_filter(string_split(path, '/'), lambda s: s <> '') AS p FROM judged GROUP BY host, path))""",
+    ]
+    for level in range(url_tree.LEVELS):
+        above, own = ["host", *names[:level]], names[level]
+        listed = ", ".join(above)
+        same = lambda keys: " AND ".join(f"l.{k} IS NOT DISTINCT FROM r.{k}" for k in keys)
+        steps += [
+            f"c{level} AS (SELECT {listed}, {own}, sum(n) AS n, sum(labelled) AS labelled, sum(blocked) AS blocked FROM n{level} WHERE {own} IS NOT NULL GROUP BY {listed}, {own})",
+            f"t{level} AS (SELECT {listed}, count(*) AS k, sum(n) AS n, sum(labelled) AS labelled, sum(blocked) AS blocked, sum(blocked) / nullif(sum(labelled), 0) AS pooled FROM c{level} GROUP BY {listed})",
+            f"""f{level} AS (SELECT l.*, CASE WHEN k > {url_tree.MANY_CHILDREN} AND r.n / k < {url_tree.FEW_PAGES} THEN '*'
+              WHEN k > 1 AND coalesce(abs(l.blocked / nullif(l.labelled, 0) - pooled) <= {url_tree.MERGE_Z} * sqrt(pooled * (1 - pooled) / nullif(l.labelled, 0)), true) THEN '~'
+              ELSE l.{own} END AS fresh FROM c{level} l JOIN t{level} r ON {same(above)})""",
+            f"""n{level + 1} AS (SELECT l.host, l.path, l.n, l.labelled, l.blocked, {', '.join('r.fresh AS ' + own if n == own else 'l.' + n for n in names)}
+              FROM n{level} l LEFT JOIN f{level} r ON {same([*above, own])})""",
+        ]
+    w = url_tree.PRIOR_WEIGHT
+    steps += [
+        f"placed AS (SELECT host, path, '/' || concat_ws('/', {', '.join(names)}) AS template, labelled, blocked FROM n{url_tree.LEVELS})",
+        "counts AS (SELECT host, template, sum(labelled) AS labelled, sum(blocked) AS blocked FROM placed GROUP BY 1, 2)",
+        "overall AS (SELECT coalesce(sum(blocked) / nullif(sum(labelled), 0), 0) AS share FROM counts)",
+        f"prior AS (SELECT template, (sum(blocked) + {w} * (SELECT share FROM overall)) / (sum(labelled) + {w}) AS prior FROM counts GROUP BY 1)",
+        f"verdicts AS (SELECT host, template, (blocked + {w} * prior) / (labelled + {w}) >= {url_tree.REJECT} AS rejected FROM counts JOIN prior USING (template))",
+    ]
+    return "WITH " + ",\n".join(steps) + """
+SELECT page_id, host, path, rule, template, coalesce(ruled, CASE WHEN rejected THEN 'block' ELSE 'allow' END) AS verdict
+FROM judged JOIN placed USING (host, path) JOIN verdicts USING (host, template)"""
+
+
+ORACLES["op6_url_tree"] = _url_sql()
