@@ -7,6 +7,7 @@ import sys
 import types
 from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark.sql import Column, DataFrame, functions as F
@@ -35,7 +36,7 @@ class WordCache(dict):
     so memory stays bounded and frequent words stay; an evicted word is computed anew.
     """
 
-    def __init__(self, compute: Callable[[list[str]], list], limit: int = 1_000_000):
+    def __init__(self, compute: Callable[[list[str]], list], limit: int = 500_000):
         super().__init__()
         self.compute, self.half, self.elder = compute, limit // 2, {}
 
@@ -83,6 +84,24 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def per_text(schema: str, work: Callable[[list[str]], Iterable[tuple]], rows: int = 128):
+    """A column function: `work` maps a list of texts to as many tuples of `schema`.
+
+    It counts as non-deterministic so that Spark evaluates it once, before any filter on
+    its result; the row's other columns never leave the JVM.
+    """
+    names = [field.split()[0] for field in schema.split(", ")]
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            out = []
+            for at in range(0, len(texts), rows):
+                out.extend(work(texts.iloc[at : at + rows].tolist()))
+            yield pd.DataFrame(out, columns=names)
+
+    return F.pandas_udf(run, schema).asNondeterministic()
+
+
 def in_batches(rows: Iterable[tuple], schema: pa.Schema, weigh: Callable[[tuple], int]) -> Iterator[pa.RecordBatch]:
     """Rows as record batches of about BATCH_BYTES bytes."""
     held, size = [], 0

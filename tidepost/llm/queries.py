@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidepost.llm import byte_bpe, packing, simhash, token_files, topk, url_tree
+from tidepost.llm import byte_bpe, fertility, packing, simhash, token_files, topk, url_tree
 from tidepost.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,13 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    return fertility.quality_rules(table(spark, folder, "documents"), public_tokenizers.path("piece_bpe_32k.model")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "reason"
+    )
+
+
 def packed(docs: DataFrame) -> DataFrame:
     pieces = packing.cut_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), PACK_END_ID)
     placed = packing.place_pieces(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
