@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidepost.llm import byte_bpe, fertility, packing, simhash, token_files, topk, url_tree
+from tidepost.llm import byte_bpe, fertility, packing, secret_scan, simhash, token_files, topk, url_tree
 from tidepost.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +150,12 @@ FROM judged JOIN placed USING (host, path) JOIN verdicts USING (host, template)"
 
 
 ORACLES["op6_url_tree"] = _url_sql()
+
+
+@query
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secret_scan.find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", "_secrets.n_assign", "_secrets.n_access", "_secrets.n_hex",
+        F.sha2(F.col("_secrets.base"), 256).alias("base_sha256"), "_secrets.spans",
+    )
