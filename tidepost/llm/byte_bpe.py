@@ -11,19 +11,13 @@ from __future__ import annotations
 import base64
 import struct
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidepost.llm.common import WordCache, in_batches, space_chunks, text_or_empty, worker_memo
-
-
-def byte_characters() -> list[str]:
-    """A printable character for each byte: itself where it prints, else the next one from U+0100 on."""
-    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    others = [b for b in range(256) if b not in printable]
-    return [chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)]
+from tidepost.llm.common import WordCache, by_size, byte_characters, in_batches, space_chunks, text_or_empty, worker_memo
 
 
 # --- the model file ---------------------------------------------------------
@@ -85,8 +79,8 @@ class ByteBpe:
         white = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
         exact = pattern.replace("[^\\s", f"[^{white}").replace("\\s", f"[{white}]").replace("\\S", f"[^{white}]")
         self.split = regex.compile(exact).findall
-        self.pretokens = WordCache(self._encode_pretokens, 500_000)
-        self.cache = WordCache(self._encode_chunks, 800_000)
+        self.pretokens = WordCache(self._encode_pretokens, 400_000)
+        self.cache = WordCache(self._encode_chunks, 400_000)
 
     def _encode_pretokens(self, pretokens: list[str]) -> list[bytes]:
         """A pre-token that is a token as a whole is that token; any other is merged."""
@@ -112,14 +106,15 @@ class ByteBpe:
 
     def encode_all(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        chunked = [space_chunks(text) for text in texts]
-        self.cache.learn(chunk for chunks in chunked if chunks for chunk in chunks)
-        for text, chunks in zip(texts, chunked):
-            if chunks is None:
-                yield b"".join(self._encode_pretokens(self.split(text)))
-            else:
-                yield b"".join(map(self.cache.__getitem__, chunks))
-        self.cache.age()
+        for group in by_size(texts):
+            chunked = [space_chunks(text) for text in group]
+            self.cache.learn(chain.from_iterable(chunks for chunks in chunked if chunks))
+            for text, chunks in zip(group, chunked):
+                if chunks is None:
+                    yield b"".join(self._encode_pretokens(self.split(text)))
+                else:
+                    yield b"".join(map(self.cache.__getitem__, chunks))
+            self.cache.age()
 
     def decode(self, ids: bytes) -> bytes:
         """The inverse: the bytes of each id, one after the other."""
@@ -130,35 +125,43 @@ def byte_bpe(ranks_path: str, pattern: str) -> ByteBpe:
     return worker_memo(("byte bpe", ranks_path, pattern), lambda: ByteBpe(ranks_path, pattern))
 
 
+def _mapped(rows: DataFrame, ranks_path: str, pattern: str, schema: pa.Schema, work) -> DataFrame:
+    """`work(coder, values)` over the second column of `rows`, a slice of the rows at a time, in one Python step."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = byte_bpe(ranks_path, pattern)
+        made = (
+            (doc_id, *made)
+            for b in batches for at in range(0, b.num_rows, 1024)
+            for doc_id, made in zip(b.column(0).slice(at, 1024).to_pylist(), work(coder, b.column(1).slice(at, 1024).to_pylist()))
+        )
+        yield from in_batches(made, schema, lambda row: sum(len(v or b"") for v in row[1:]))
+
+    return rows.mapInArrow(run, ", ".join(f"{f.name} {'long' if f.type == pa.int64() else 'binary'}" for f in schema))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+
+
 def encode_texts(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, ids (binary, little-endian unsigned 32-bit) of each row's whole text.
 
     Row by row, no shuffle: repeated rows and null doc_ids stay, a null or empty text has
     no ids, other columns are ignored.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = byte_bpe(ranks_path, pattern)
-        rows = (
-            row for b in batches for at in range(0, b.num_rows, 256)
-            for row in zip(b.column(0).slice(at, 256).to_pylist(), coder.encode_all(b.column(1).slice(at, 256).to_pylist()))
-        )
-        yield from in_batches(rows, pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())]), lambda row: len(row[1]))
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids binary")
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary())])
+    return _mapped(_texts(docs), ranks_path, pattern, schema, lambda coder, texts: ((ids,) for ids in coder.encode_all(texts)))
 
 
 def decode_ids(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """`encoded` with `decoded`, the bytes that `ids` stand for; null ids give null."""
-    out = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
+    """doc_id, decoded: the bytes that `ids` stand for; null ids give null."""
+    schema = pa.schema([("doc_id", pa.int64()), ("decoded", pa.binary())])
+    decode = lambda coder, ids: ((None if i is None else coder.decode(i),) for i in ids)
+    return _mapped(encoded.select("doc_id", "ids"), ranks_path, pattern, schema, decode)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = byte_bpe(ranks_path, pattern)
-        rows = (
-            (d, i, None if i is None else coder.decode(i))
-            for b in batches for d, i in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
-        )
-        yield from in_batches(rows, out, lambda row: 2 * len(row[1] or b""))
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
+def round_trip(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """doc_id, ids, decoded: encoded and decoded again in the same Python worker, which holds one model."""
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
+    return _mapped(_texts(docs), ranks_path, pattern, schema, lambda coder, texts: ((ids, coder.decode(ids)) for ids in coder.encode_all(texts)))

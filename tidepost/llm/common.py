@@ -42,13 +42,18 @@ class WordCache(dict):
 
     def learn(self, words: Iterable[str]) -> None:
         """Make every word of `words` present."""
+        self.learn_new(set(words).difference(self))
+
+    def learn_new(self, words: Iterable[str]) -> None:
+        """The same for words without repetition."""
         missing = []
-        for word in set(words).difference(self):
-            known = self.elder.get(word)
-            if known is None:
-                missing.append(word)
-            else:
-                self[word] = known
+        for word in words:
+            if word not in self:
+                known = self.elder.get(word)
+                if known is None:
+                    missing.append(word)
+                else:
+                    self[word] = known
         if missing:
             self.update(zip(missing, self.compute(missing)))
 
@@ -80,11 +85,31 @@ def space_chunks(text: str) -> list[str] | None:
     return [first, *[" " + part for part in rest]] if first else [" " + part for part in rest]
 
 
+def byte_characters() -> list[str]:
+    """A printable character for each byte: itself where it prints, else the next one from U+0100 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printable]
+    return [chr(b) if b in printable else chr(256 + others.index(b)) for b in range(256)]
+
+
+def by_size(texts: list[str], most: int = 4_000_000) -> Iterator[list[str]]:
+    """Runs of texts of about `most` characters together, in order."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= most:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
-def per_text(schema: str, work: Callable[[list[str]], Iterable[tuple]], rows: int = 128):
+def per_text(schema: str, work: Callable[[list[str]], Iterable[tuple]], rows: int = 1024):
     """A column function: `work` maps a list of texts to as many tuples of `schema`.
 
     It counts as non-deterministic so that Spark evaluates it once, before any filter on

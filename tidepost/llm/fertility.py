@@ -16,7 +16,7 @@ from itertools import chain
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidepost.llm.common import WordCache, per_text, text_or_empty, worker_memo
+from tidepost.llm.common import WordCache, by_size, per_text, text_or_empty, worker_memo
 from tidepost.session import materialize
 
 # The base rules' own figures.
@@ -116,22 +116,23 @@ def measures_of(vocabulary: str):
     def work(texts: list[str]) -> Iterator[tuple]:
         yardstick = worker_memo(("yardstick", vocabulary), lambda: Yardstick(vocabulary))
         symbols, spaces = [b"#", b"*", b"$", b"%", b"&", b"|", b"<", b">"], [b" ", b"\t", b"\n", b"\x0b", b"\x0c", b"\r"]
-        raw = [text.encode() for text in texts]
-        # bytes.split knows the six ASCII white spaces only.
-        words = [data.split() for data in raw]
-        yardstick.cache.learn(chain.from_iterable(words))
-        for text, data, own in zip(texts, raw, words):
-            numbers: dict[bytes, int] = {}
-            codes = np.fromiter((numbers.setdefault(w, len(numbers)) for w in own), np.int64, len(own))
-            ids = yardstick.ids(own)
-            word_chars, n = len(text) - sum(map(data.count, spaces)), len(ids)
-            shares = np.unique(ids, return_counts=True)[1] / max(n, 1)
-            yield (
-                len(own), word_chars, sum(map(data.count, symbols)), duplicate_lines(data), repeated_words(codes),
-                script_of(text), n, word_chars / max(n, 1), float(yardstick.fallback[ids].sum()) / max(n, 1),
-                max(0.0, float(-(shares * np.log2(shares)).sum())),
-            )
-        yardstick.cache.age()
+        for group in by_size(texts):
+            raw = [text.encode() for text in group]
+            # bytes.split knows the six ASCII white spaces only.
+            words = [data.split() for data in raw]
+            yardstick.cache.learn(chain.from_iterable(words))
+            for text, data, own in zip(group, raw, words):
+                numbers: dict[bytes, int] = {}
+                codes = np.fromiter((numbers.setdefault(w, len(numbers)) for w in own), np.int64, len(own))
+                ids = yardstick.ids(own)
+                word_chars, n = len(text) - sum(map(data.count, spaces)), len(ids)
+                shares = np.unique(ids, return_counts=True)[1] / max(n, 1)
+                yield (
+                    len(own), word_chars, sum(map(data.count, symbols)), duplicate_lines(data), repeated_words(codes),
+                    script_of(text), n, word_chars / max(n, 1), float(yardstick.fallback[ids].sum()) / max(n, 1),
+                    max(0.0, float(-(shares * np.log2(shares)).sum())),
+                )
+            yardstick.cache.age()
 
     return per_text(_MEASURES, work)
 

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidepost.llm.common import WordCache, in_batches, space_chunks, text_or_empty, worker_memo
+from tidepost.llm.common import in_batches, text_or_empty
+from tidepost.llm.word_ids import word_ids
 from tidepost.session import scratch_path
 
 WINDOW = 2048
@@ -28,28 +29,6 @@ _PIECES = "part int, slot long, doc_id long, start long, length int, doc_tokens
 
 # --- encoding and cutting ---------------------------------------------------
 
-class ByteLevelEncoder:
-    """Ids by the tokenizers library for byte-level vocabularies, each distinct chunk encoded once per worker."""
-
-    def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(vocabulary)
-        self.tokenizer.encode_special_tokens = True
-        self.cache = WordCache(self._encode)
-
-    def _encode(self, chunks: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def encode_all(self, texts: list[str]) -> Iterator[bytes]:
-        chunked = [space_chunks(text) for text in texts]
-        self.cache.learn(chunk for chunks in chunked if chunks for chunk in chunks)
-        for text, chunks in zip(texts, chunked):
-            yield self._encode([text])[0] if chunks is None else b"".join(map(self.cache.__getitem__, chunks))
-        self.cache.age()
-
-
 def cut_documents(docs: DataFrame, vocabulary: str, end_id: int, window: int = WINDOW) -> DataFrame:
     """Stored pieces of at most `window` tokens with their ids (little-endian unsigned 32-bit).
 
@@ -65,20 +44,18 @@ def cut_documents(docs: DataFrame, vocabulary: str, end_id: int, window: int = W
     ])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = worker_memo(("byte level", vocabulary), lambda: ByteLevelEncoder(vocabulary))
+        encoder = word_ids(vocabulary, byte_level=True)
         part, slots = TaskContext.get().partitionId(), [0] * (window + 1)
 
         def rows():
             for batch in batches:
-                for at in range(0, batch.num_rows, 256):
-                    doc_ids, texts = (batch.column(i).slice(at, 256).to_pylist() for i in (0, 1))
-                    for doc_id, ids in zip(doc_ids, encoder.encode_all(texts)):
-                        ids += end
-                        for start in range(0, len(ids), 4 * window):
-                            piece = ids[start : start + 4 * window]
-                            length = len(piece) // 4
-                            yield part, slots[length], doc_id, start // 4, length, len(ids) // 4, piece
-                            slots[length] += 1
+                for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
+                    ids = ids.tobytes() + end
+                    for start in range(0, len(ids), 4 * window):
+                        piece = ids[start : start + 4 * window]
+                        length = len(piece) // 4
+                        yield part, slots[length], doc_id, start // 4, length, len(ids) // 4, piece
+                        slots[length] += 1
 
         yield from in_batches(rows(), schema, lambda row: len(row[6]))
 

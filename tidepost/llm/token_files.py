@@ -17,19 +17,19 @@ from __future__ import annotations
 import struct
 import uuid
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidepost.llm.common import WordCache, in_batches, open_store, spread_rows, text_or_empty, worker_memo
+from tidepost.llm.common import in_batches, open_store, spread_rows, text_or_empty
+from tidepost.llm.word_ids import word_ids
 
 MAGIC = b"TPID"
 HEADER = "<4sIQQII"
 BLOCK_TOKENS = 1 << 14
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 21
 MANIFEST = "part int, seq int, file string, n_docs long, n_tokens long"
 
 
@@ -107,26 +107,6 @@ class Shard:
 
 # --- encoding ---------------------------------------------------------------
 
-def word_cache(vocabulary: str) -> WordCache:
-    """Ids by word, for tokenizers that drop white space: words between spaces are encoded alone.
-
-    Each distinct word goes through the tokenizers library once per worker.
-    """
-
-    def build():
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(vocabulary)
-        tokenizer.encode_special_tokens = True
-
-        def encode(words):
-            return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-
-        return WordCache(encode)
-
-    return worker_memo(("words", vocabulary), build)
-
-
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str, vocabulary_size: int, end_id: int, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Encode `text` and write the files below `folder`; returns the stored manifest.
 
@@ -141,7 +121,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, vocabulary_
     end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = word_cache(vocabulary)
+        encoder = word_ids(vocabulary, byte_level=False)
         store, base = open_store(folder)
         part = TaskContext.get().partitionId()
         schema = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("file", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())])
@@ -160,19 +140,13 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str, vocabulary_
 
         store.create_dir(base, recursive=True)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), 256):
-                words = [text.split(" ") for text in texts[at : at + 256]]
-                cache.learn(chain.from_iterable(words))
-                for doc_id, own in zip(batch.column(0).slice(at, 256).to_pylist(), words):
-                    ids = b"".join(map(cache.__getitem__, own)) + end
-                    held += len(ids) // 4
-                    doc_ids.append(doc_id)
-                    ends.append(held)
-                    parts.append(ids)
-                    if held >= shard_tokens:
-                        yield flush()
-                cache.age()
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1))):
+                held += len(ids) + 1
+                doc_ids.append(doc_id)
+                ends.append(held)
+                parts += ids.tobytes(), end
+                if held >= shard_tokens:
+                    yield flush()
         if doc_ids:
             yield flush()
 
