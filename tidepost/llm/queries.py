@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidepost.llm import byte_bpe, fertility, packing, secret_scan, simhash, token_files, topk, url_tree
+from tidepost.llm import byte_bpe, fertility, language, packing, secret_scan, simhash, token_files, topk, url_tree
 from tidepost.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,8 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "_secrets.n_assign", "_secrets.n_access", "_secrets.n_hex",
         F.sha2(F.col("_secrets.base"), 256).alias("base_sha256"), "_secrets.spans",
     )
+
+
+@query
+def op8_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language.identify_languages(table(spark, folder, "documents"))
