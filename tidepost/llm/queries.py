@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidepost.llm import byte_bpe, fertility, language, packing, secret_scan, simhash, token_files, topk, url_tree
+from tidepost.llm import byte_bpe, fertility, language, packing, pii, secret_scan, simhash, token_files, topk, url_tree
 from tidepost.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -164,3 +164,12 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def op8_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify_languages(table(spark, folder, "documents"))
+
+
+@query
+def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, folder, "documents"))
+    return found.select(
+        "doc_id", "n_email", "n_ip", "n_card", "n_phone",
+        F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"),
+    )
