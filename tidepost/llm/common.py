@@ -109,6 +109,15 @@ def text_or_empty(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit(""))
 
 
+def with_text_result(docs: DataFrame, name: str, function) -> DataFrame:
+    """`row`, each whole row as a struct, and `name`, what `function` makes of its text.
+
+    Columns of the input can have any name: they meet those of an operator inside the struct only.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row.alias("row"), function(text_or_empty()).alias(name))
+
+
 def per_text(schema: str, work: Callable[[list[str]], Iterable[tuple]], rows: int = 1024):
     """A column function: `work` maps a list of texts to as many tuples of `schema`.
 

@@ -16,7 +16,7 @@ from itertools import chain
 import numpy as np
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tidepost.llm.common import WordCache, by_size, per_text, text_or_empty, worker_memo
+from tidepost.llm.common import WordCache, by_size, per_text, with_text_result, worker_memo
 from tidepost.session import materialize
 
 # The base rules' own figures.
@@ -138,35 +138,35 @@ def measures_of(vocabulary: str):
 
 
 def measured(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """`docs` with `_quality` (figures and measures) and `_group` (lang, or the script where there is none)."""
-    measures = docs.withColumn("_quality", measures_of(vocabulary)(text_or_empty()))
-    script = F.col("_quality.script")
-    return measures.withColumn("_group", F.coalesce(F.col("lang").cast("string"), script) if "lang" in docs.columns else script)
+    """row, quality (figures and measures) and group (lang, or the script where there is none)."""
+    measures = with_text_result(docs, "quality", measures_of(vocabulary))
+    script = F.col("quality.script")
+    return measures.withColumn("group", F.coalesce(F.col("row.lang").cast("string"), script) if "lang" in docs.columns else script)
 
 
 def group_bands(measures: DataFrame) -> DataFrame:
-    """_group, least, most: each group's own band of characters per token.
+    """group, least, most: each group's own band of characters per token.
 
     Quartiles come from counts by thousandths, so they do not depend on the order of rows,
     and a group of any size is a few thousand rows before its window.
     """
-    long_enough = measures.filter(F.col("_quality.n_tokens") >= MIN_TOKENS)
-    counts = long_enough.groupBy("_group", F.round("_quality.chars_per_token", 3).alias("x")).agg(F.count(F.lit(1)).alias("n"))
-    own = Window.partitionBy("_group")
+    long_enough = measures.filter(F.col("quality.n_tokens") >= MIN_TOKENS)
+    counts = long_enough.groupBy("group", F.round("quality.chars_per_token", 3).alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    own = Window.partitionBy("group")
     counts = counts.withColumns({"upto": F.sum("n").over(own.orderBy("x")), "all": F.sum("n").over(own)})
     quartile = lambda share: F.min(F.when(F.col("upto") >= share * F.col("all"), F.col("x")))
     spread = F.col("q3") - F.col("q1")
     width = lambda times: F.greatest(times * spread, NARROWEST * F.col("q2"))
     return (
-        counts.groupBy("_group").agg(quartile(0.25).alias("q1"), quartile(0.5).alias("q2"), quartile(0.75).alias("q3"), F.max("all").alias("rows"))
+        counts.groupBy("group").agg(quartile(0.25).alias("q1"), quartile(0.5).alias("q2"), quartile(0.75).alias("q3"), F.max("all").alias("rows"))
         .filter(F.col("rows") >= MIN_GROUP)
-        .select("_group", (F.col("q2") - width(BELOW)).alias("least"), (F.col("q2") + width(ABOVE)).alias("most"))
+        .select("group", (F.col("q2") - width(BELOW)).alias("least"), (F.col("q2") + width(ABOVE)).alias("most"))
     )
 
 
 def judged(measures: DataFrame, bands: dict[str, tuple[float, float, float, float]]) -> DataFrame:
-    """`measures`, which must be stored, with base_failed as `_base` and the reason as `_reason` (null if kept)."""
-    q = F.col("_quality")
+    """`measures`, which must be stored, with base_failed as `base` and `reason` (null if kept)."""
+    q = F.col("quality")
     limit = lambda i: F.create_map(*[x for s, b in bands.items() for x in (F.lit(s), F.lit(float(b[i])))])[q["script"]]
     base = (q["n_words"] < MIN_WORDS) | (100 * q["n_repeat_words"] > MAX_REPEAT_PERCENT * q["n_words"])
     relative = q["token_entropy"] / F.log2(F.greatest(q["n_tokens"], F.lit(2)).cast("double"))
@@ -178,7 +178,7 @@ def judged(measures: DataFrame, bands: dict[str, tuple[float, float, float, floa
         .when(100 * q["byte_share"] > limit(2), "byte fallback")
         .when(relative < limit(3), "low token entropy")
     )
-    return measures.join(group_bands(measures), "_group", "left").withColumns({"_base": base, "_reason": reason})
+    return measures.join(group_bands(measures), "group", "left").withColumns({"base": base, "reason": reason})
 
 
 def quality_rules(docs: DataFrame, vocabulary: str, bands: dict[str, tuple[float, float, float, float]] = BANDS) -> DataFrame:
@@ -189,12 +189,10 @@ def quality_rules(docs: DataFrame, vocabulary: str, bands: dict[str, tuple[float
     and null doc_ids are judged like others; columns but doc_id, text and lang are ignored.
     """
     known = docs.select("doc_id", "text", *[c for c in ("lang",) if c in docs.columns])
-    stored = materialize(measured(known, vocabulary).select("doc_id", "_quality", "_group"), "quality-measures")
-    return judged(stored, bands).select(
-        "doc_id", "_quality.*", F.col("_base").alias("base_failed"), F.col("_reason").alias("reason"), F.col("_reason").isNull().alias("kept")
-    )
+    stored = materialize(measured(known, vocabulary).select("row.doc_id", "quality", "group"), "quality-measures")
+    return judged(stored, bands).select("doc_id", "quality.*", F.col("base").alias("base_failed"), "reason", F.col("reason").isNull().alias("kept"))
 
 
 def kept_documents(docs: DataFrame, vocabulary: str, bands: dict[str, tuple[float, float, float, float]] = BANDS) -> DataFrame:
     """The rows of `docs` that the rules keep, with their own columns; rows and measures are stored side by side."""
-    return judged(materialize(measured(docs, vocabulary), "quality-documents"), bands).filter(F.col("_reason").isNull()).select(*docs.columns)
+    return judged(materialize(measured(docs, vocabulary), "quality-documents"), bands).filter(F.col("reason").isNull()).select("row.*")

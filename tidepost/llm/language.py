@@ -15,7 +15,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidepost.llm.common import per_text, text_or_empty
+from tidepost.llm.common import per_text, with_text_result
 
 WINDOW = 256
 # Windows that the network learns from, one per labelled row; the driver holds TRAINING_WINDOWS * WINDOW characters.
@@ -167,14 +167,14 @@ class Predictor:
 
 
 def with_language(docs: DataFrame, model: dict | None) -> DataFrame:
-    """`docs` with `_language` (lang_pred, score): `und` and 0 for texts that are null or have no letter, or without a model."""
+    """row and language (lang_pred, score): `und` and 0 for texts that are null or have no letter, or without a model."""
 
     def work(texts: list[str]) -> Iterator[tuple[str, float]]:
         if model is None:
             return ((UNKNOWN, 0.0) for _ in texts)
         return Predictor(model).predict(texts)
 
-    return docs.withColumn("_language", per_text("lang_pred string, score double", work)(text_or_empty()))
+    return with_text_result(docs, "language", per_text("lang_pred string, score double", work))
 
 
 def identify_languages(docs: DataFrame, rows: int = TRAINING_WINDOWS) -> DataFrame:
@@ -185,11 +185,11 @@ def identify_languages(docs: DataFrame, rows: int = TRAINING_WINDOWS) -> DataFra
     """
     model = train(training_sample(docs, rows))
     return with_language(docs.select("doc_id", "text"), model).select(
-        "doc_id", (~in_training(F.col("doc_id"))).alias("held_out"), "_language.lang_pred", "_language.score"
+        "row.doc_id", (~in_training(F.col("row.doc_id"))).alias("held_out"), "language.lang_pred", "language.score"
     )
 
 
 def kept_documents(docs: DataFrame, least_score: float = 0.4, rows: int = TRAINING_WINDOWS) -> DataFrame:
     """The rows of `docs` with a recognised language: `und` and scores below `least_score` go."""
     judged = with_language(docs, train(training_sample(docs, rows)))
-    return judged.filter((F.col("_language.lang_pred") != UNKNOWN) & (F.col("_language.score") >= least_score)).select(*docs.columns)
+    return judged.filter((F.col("language.lang_pred") != UNKNOWN) & (F.col("language.score") >= least_score)).select("row.*")

@@ -156,8 +156,8 @@ ORACLES["op6_url_tree"] = _url_sql()
 def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = secret_scan.find_secrets(table(spark, folder, "documents").select("doc_id", "text"))
     return found.select(
-        "doc_id", "_secrets.n_assign", "_secrets.n_access", "_secrets.n_hex",
-        F.sha2(F.col("_secrets.base"), 256).alias("base_sha256"), "_secrets.spans",
+        "row.doc_id", "secrets.n_assign", "secrets.n_access", "secrets.n_hex",
+        F.sha2(F.col("secrets.base"), 256).alias("base_sha256"), "secrets.spans",
     )
 
 

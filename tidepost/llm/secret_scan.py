@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from tidepost.llm.common import per_text, text_or_empty
+from tidepost.llm.common import per_text, with_text_result
 
 KINDS = ("assign", "access", "hex")
 # The base patterns, on bytes, where case folding knows A-Z only.
@@ -210,23 +210,30 @@ def _scan_texts(texts: list[str]) -> Iterator[tuple]:
 
 
 def find_secrets(docs: DataFrame) -> DataFrame:
-    """`docs` with `_secrets`: counts of base matches by kind, base and all spans as text, and merged intervals.
+    """row and secrets: counts of base matches by kind, base and all spans as text, and merged intervals.
 
     Spans count code points, ends exclusive, ordered by start and kind.  Row by row, no
     shuffle: null texts count as empty, repeated rows and null ids stay.
     """
-    return docs.withColumn("_secrets", per_text(_FOUND, _scan_texts)(text_or_empty()))
+    return with_text_result(docs, "secrets", per_text(_FOUND, _scan_texts))
 
 
 def redacted(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """`docs` with each found interval of `text` replaced by `mark`; texts without one stay as they are, null included."""
+    """`docs` with each found interval of `text` replaced by `mark`; texts without one stay as they are, null included.
+
+    A column n_chars, if there is one, follows the new text.
+    """
     found = find_secrets(docs)
     parts = F.expr(
-        "concat_ws('', transform(sequence(0, size(_secrets.starts)), i -> concat("
+        "concat_ws('', transform(sequence(0, size(secrets.starts)), i -> concat("
         f"if(i = 0, '', '{mark}'), "
-        "substring(text, if(i = 0, 1, element_at(_secrets.ends, greatest(i, 1)) + 1), "
-        "greatest(0, if(i = size(_secrets.starts), length(text), element_at(_secrets.starts, least(i + 1, size(_secrets.starts)))) "
-        "- if(i = 0, 0, element_at(_secrets.ends, greatest(i, 1))))))))"
+        "substring(row.text, if(i = 0, 1, element_at(secrets.ends, greatest(i, 1)) + 1), "
+        "greatest(0, if(i = size(secrets.starts), length(row.text), element_at(secrets.starts, least(i + 1, size(secrets.starts)))) "
+        "- if(i = 0, 0, element_at(secrets.ends, greatest(i, 1))))))))"
     )
-    text = F.when(F.size("_secrets.starts") > 0, parts).otherwise(F.col("text"))
-    return found.withColumn("text", text).select(*docs.columns)
+    hit = F.size("secrets.starts") > 0
+    changed = {"text": F.when(hit, parts).otherwise(F.col("row.text"))}
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        changed["n_chars"] = F.when(hit, F.length(parts).cast(kind)).otherwise(F.col("row.n_chars"))
+    return found.select(*[changed[c].alias(c) if c in changed else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
