@@ -7,7 +7,7 @@ SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, pa
 def awkward(spark):
     """Nulls, empty and long texts, ties, repeated rows, and columns named like the operators' own."""
     words = "the quick brown fox jumps over a lazy dog while seven wizards calmly vex the jumbo pack of quartz liquor".split()
-    plain = " ".join(words[i % len(words)] + (str(i // len(words)) if i % 7 == 0 else "") for i in range(260))
+    plain = " ".join(words[(i * i + i // 19) % len(words)] + (str(i) if i % 3 == 0 else "") for i in range(260))
     texts = [
         (1, None), (2, ""), (3, " \n\t "), (4, plain), (4, plain), (None, plain), (5, plain + " end"), (6, "a"), (6, "b"),
         (7, "long " * 30_000), (8, "token = abcdef123456 mail a.b@c-d.org +49 (30) 1234-5678 10.0.0.255 4111 1111 1111 1111"),

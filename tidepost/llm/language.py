@@ -18,11 +18,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tidepost.llm.common import per_text, with_text_result
 
 WINDOW = 256
-# Windows that the network learns from, one per labelled row; the driver holds TRAINING_WINDOWS * WINDOW characters.
-TRAINING_WINDOWS = 6_000
+# Windows that the network learns from, up to so many per labelled row; the driver holds TRAINING_WINDOWS * WINDOW characters.
+TRAINING_WINDOWS, WINDOWS_PER_ROW = 6_000, 6
 # Two bytes, three bytes and four bytes: prediction tables rest on these.
 WIDTHS = (2, 3, 4)
-FILTERS, EMBEDDING, EPOCHS, BATCH, RATE = 16, 8, 6, 64, 4e-3
+FILTERS, EMBEDDING, STEPS, BATCH, RATE = 16, 8, 500, 64, 4e-3
 UNKNOWN = "und"
 _LETTER = re.compile(r"[^\W\d_]").search
 
@@ -32,16 +32,20 @@ def in_training(doc_id: Column) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4 != 2
 
 
-def training_sample(docs: DataFrame, rows: int = TRAINING_WINDOWS) -> list[tuple[str, str]]:
-    """(lang, window) of at most `rows` labelled training rows, the first by a hash of their id.
+def training_sample(docs: DataFrame, windows: int = TRAINING_WINDOWS) -> list[tuple[str, str]]:
+    """(lang, window) of at most `windows` windows of labelled training rows, the first by a hash of their ids.
 
-    Spark cuts one window per row, at a place given by the hash, and sends only those.
+    Every row gives one window before any gives a second.  Spark cuts the windows, at
+    places given by the hash, and sends only those.
     """
-    place = F.xxhash64("doc_id")
-    start = F.pmod(F.shiftright(place, 7), F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1) + 1
+    turn = F.explode(F.sequence(F.lit(0), F.lit(WINDOWS_PER_ROW - 1))).alias("turn")
     labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & in_training(F.col("doc_id")))
-    cut = labelled.select("lang", F.expr("text").substr(start.cast("int"), F.lit(WINDOW)).alias("window"), place.alias("place"))
-    return [(r["lang"], r["window"]) for r in cut.orderBy("place", "lang", "window").limit(rows).collect() if _LETTER(r["window"])]
+    placed = labelled.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id", turn)
+    place = F.xxhash64("doc_id", "turn")
+    start = F.pmod(F.shiftright(place, 7), F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1) + 1
+    cut = placed.select("lang", F.col("text").substr(start.cast("int"), F.lit(WINDOW)).alias("window"), "turn", place.alias("place"))
+    chosen = cut.orderBy("turn", "place", "lang", "window").limit(windows)
+    return [(r["lang"], r["window"]) for r in chosen.collect() if _LETTER(r["window"])]
 
 
 def windows_of(text: str) -> np.ndarray:
@@ -97,20 +101,18 @@ def train(sample: list[tuple[str, str]], seed: int = 1) -> dict | None:
     shape = {"embed": (256, EMBEDDING), "bias": (len(WIDTHS) * FILTERS,), "out": (len(WIDTHS) * FILTERS, len(names)), "out_bias": (len(names),)}
     shape |= {f"filter{w}": (w * EMBEDDING, FILTERS) for w in WIDTHS}
     p = {k: (rng.normal(0, 1 / np.sqrt(s[0] if k != "embed" else 4), s) if len(s) > 1 else np.zeros(s)).astype(np.float32) for k, s in shape.items()}
-    mean, square, step = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
-    for _ in range(EPOCHS):
-        order = rng.permutation(len(x))
-        for at in range(0, len(x), BATCH):
-            chosen = order[at : at + BATCH]
-            own = x[chosen].copy()
-            # A third of the windows are shortened, as the last window of a text is.
-            short = rng.random(len(own)) < 0.33
-            own[short[:, None] & (np.arange(WINDOW) >= rng.integers(12, WINDOW, len(own))[:, None])] = 0
-            step += 1
-            for k, g in _gradients(p, own, y[chosen]).items():
-                mean[k] = 0.9 * mean[k] + 0.1 * g
-                square[k] = 0.999 * square[k] + 0.001 * g * g
-                p[k] = p[k] - RATE * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
+    mean, square = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
+    order = np.concatenate([rng.permutation(len(x)) for _ in range(-(-STEPS * BATCH // len(x)))])
+    for step in range(1, STEPS + 1):
+        chosen = order[(step - 1) * BATCH : step * BATCH]
+        own = x[chosen].copy()
+        # A third of the windows are shortened, as the last window of a text is.
+        short = rng.random(len(own)) < 0.33
+        own[short[:, None] & (np.arange(WINDOW) >= rng.integers(12, WINDOW, len(own))[:, None])] = 0
+        for k, g in _gradients(p, own, y[chosen]).items():
+            mean[k] = 0.9 * mean[k] + 0.1 * g
+            square[k] = 0.999 * square[k] + 0.001 * g * g
+            p[k] = p[k] - RATE * (mean[k] / (1 - 0.9**step)) / (np.sqrt(square[k] / (1 - 0.999**step)) + 1e-8)
     return {"names": names, **{k: v.astype(np.float32) for k, v in p.items()}}
 
 
@@ -177,19 +179,19 @@ def with_language(docs: DataFrame, model: dict | None) -> DataFrame:
     return with_text_result(docs, "language", per_text("lang_pred string, score double", work))
 
 
-def identify_languages(docs: DataFrame, rows: int = TRAINING_WINDOWS) -> DataFrame:
+def identify_languages(docs: DataFrame, windows: int = TRAINING_WINDOWS) -> DataFrame:
     """doc_id, held_out, lang_pred, score for every row.
 
     The network learns from rows that are not held out and have a language; prediction sees
     the text alone.  Repeated rows and null doc_ids are judged like others.
     """
-    model = train(training_sample(docs, rows))
+    model = train(training_sample(docs, windows))
     return with_language(docs.select("doc_id", "text"), model).select(
         "row.doc_id", (~in_training(F.col("row.doc_id"))).alias("held_out"), "language.lang_pred", "language.score"
     )
 
 
-def kept_documents(docs: DataFrame, least_score: float = 0.4, rows: int = TRAINING_WINDOWS) -> DataFrame:
+def kept_documents(docs: DataFrame, least_score: float = 0.4, windows: int = TRAINING_WINDOWS) -> DataFrame:
     """The rows of `docs` with a recognised language: `und` and scores below `least_score` go."""
-    judged = with_language(docs, train(training_sample(docs, rows)))
+    judged = with_language(docs, train(training_sample(docs, windows)))
     return judged.filter((F.col("language.lang_pred") != UNKNOWN) & (F.col("language.score") >= least_score)).select("row.*")
