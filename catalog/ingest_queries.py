@@ -36,6 +36,7 @@ def read_posts_table(spark, folder):
 
 
 PAGE_POSTS = 20
+BROKEN_DAY = "2023-12-31"
 
 
 def page_texts(spark, folder):
@@ -74,18 +75,21 @@ def page_texts(spark, folder):
     # Pages have a fixed number of posts.
     pages = d.groupBy(page.alias("page")).agg(F.collect_list(post).alias("tweets"))
     cursor = F.when(F.col("page") % 4 == 0, F.lit("")).otherwise(F.concat(F.lit("c"), as_text(F.col("page"))))
-    envelope = F.to_json(F.struct(
-        F.when(F.col("page") % 9 != 8, F.col("tweets")).alias("tweets"), cursor.alias("next_cursor"),
-        (F.col("page") % 3 != 0).alias("has_next_page"),
+    envelope = lambda tweets: F.to_json(F.struct(
+        tweets.alias("tweets"), cursor.alias("next_cursor"), (F.col("page") % 3 != 0).alias("has_next_page"),
     ))
     day = F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page") % 28).cast("int")), "yyyy-MM-dd")
-    return pages.select("page", day.alias("search_date"), envelope.alias("value"))
+    whole = pages.select("page", day.alias("search_date"), envelope(F.col("tweets")).alias("value"))
+    # Besides: a page without posts for every ninth page, and the first half of every seventh, on a day of its own.
+    empty = pages.filter("page % 9 = 8").select("page", day.alias("search_date"), envelope(F.lit(None).cast(pages.schema["tweets"].dataType)).alias("value"))
+    broken = whole.filter("page % 7 = 0").select("page", F.lit(BROKEN_DAY).alias("search_date"), F.expr("left(value, length(value) div 2)").alias("value"))
+    return whole.unionByName(empty).unionByName(broken)
 
 
 @query("explode_pages", f"""
 SELECT doc_id // {PAGE_POSTS} AS page, (doc_id // {PAGE_POSTS}) % 3 <> 0 AND (doc_id // {PAGE_POSTS}) % 4 <> 0 AS has_next,
        'p' || doc_id AS id, text
-FROM documents WHERE (doc_id // {PAGE_POSTS}) % 9 <> 8""")
+FROM documents""")
 def explode_pages(spark, folder):
     exploded = sources.explode_pages(page_texts(spark, folder))
     return exploded.select("page", "has_next", F.col("post.id").alias("id"), F.col("post.text").alias("text"))
@@ -107,7 +111,13 @@ SELECT strftime(DATE '2024-01-01' + CAST((doc_id // {PAGE_POSTS}) % 28 AS INTEGE
   CASE WHEN doc_id % 11 <> 0 THEN source || '|' || lang ELSE '' END AS hashtags,
   CASE WHEN doc_id % 11 = 0 THEN '' WHEN doc_id % 3 = 0 THEN 'https://t.co/s' ELSE 'https://long.example/x' END AS urls,
   CASE WHEN doc_id % 11 <> 0 THEN 'ana' ELSE '' END AS mentions
-FROM documents WHERE (doc_id // {PAGE_POSTS}) % 9 <> 8"""
+FROM documents"""
+
+
+@query("rejected_pages", f"""
+SELECT DISTINCT doc_id // {PAGE_POSTS} AS page, '{BROKEN_DAY}' AS search_date FROM documents WHERE (doc_id // {PAGE_POSTS}) % 7 = 0""")
+def rejected_pages(spark, folder):
+    return sources.rejected_pages(page_texts(spark, folder)).select("page", "search_date")
 
 
 @query("flatten_post", FLATTENED_SQL)
@@ -117,43 +127,46 @@ def flatten_post(spark, folder):
 
 
 def vector_cells(spark, folder):
+    """The vectors as text, and two more cells, broken and null, for every fifth."""
     e = table(spark, folder, "embeddings")
-    cell = F.when(F.col("vec_id") % 10 == 3, "oops").when(F.col("vec_id") % 10 != 7, F.to_json("embedding"))
-    return e.select("vec_id", cell.alias("cell"))
+    whole = e.select("vec_id", F.to_json("embedding").alias("cell"))
+    broken = e.filter("vec_id % 5 = 3").select((-1 - F.col("vec_id")).alias("vec_id"), F.lit("oops").alias("cell"))
+    return whole.unionByName(broken).unionByName(broken.withColumn("cell", F.lit(None).cast("string")))
 
 
-_PARSED_SQL = """SELECT vec_id, CASE WHEN vec_id % 10 IN (3, 7) THEN NULL ELSE embedding END AS v FROM embeddings"""
+_PARSED_SQL = """SELECT vec_id, embedding AS v FROM embeddings
+  UNION ALL SELECT -1 - vec_id, NULL FROM embeddings, (VALUES (1), (2)) WHERE vec_id % 5 = 3"""
 
 
 @query("parse_vectors", f"""
-SELECT vec_id, v IS NULL AS missing, CAST(len(v) AS INTEGER) AS size, round(CAST(v[1] AS DOUBLE), 6) AS first,
-       round(CAST(v[64] AS DOUBLE), 6) AS last FROM ({_PARSED_SQL})""")
+SELECT vec_id, v IS NULL AS missing, CAST(len(v) AS INTEGER) AS size, list_transform(v, lambda x: round(CAST(x AS DOUBLE), 6)) AS components
+FROM ({_PARSED_SQL})""")
 def parse_vectors(spark, folder):
     v = VS.parse_vectors(vector_cells(spark, folder), "cell")
-    at = lambda i: F.round(F.get("vector", F.lit(i)).cast("double"), 6)
     return v.select(
         "vec_id", F.col("vector").isNull().alias("missing"),
-        F.when(F.col("vector").isNotNull(), F.size("vector")).alias("size"), at(0).alias("first"), at(63).alias("last"),
+        F.when(F.col("vector").isNotNull(), F.size("vector")).alias("size"),
+        F.transform("vector", lambda x: F.round(x.cast("double"), 6)).alias("components"),
     )
 
 
 @query("valid_vectors", f"""
-SELECT vec_id, CAST(len(v) AS INTEGER) AS size FROM ({_PARSED_SQL}) WHERE v IS NOT NULL""")
+SELECT vec_id, list_transform(v, lambda x: round(CAST(x AS DOUBLE), 6)) AS components FROM ({_PARSED_SQL}) WHERE v IS NOT NULL""")
 def valid_vectors(spark, folder):
     v = VS.valid_vectors(VS.parse_vectors(vector_cells(spark, folder), "cell"))
-    return v.select("vec_id", F.size("vector").alias("size"))
+    return v.select("vec_id", F.transform("vector", lambda x: F.round(x.cast("double"), 6)).alias("components"))
 
 
 @query("parse_tokens", """
-SELECT doc_id, CASE WHEN doc_id % 10 IN (3, 5, 7) THEN 0 ELSE CAST(len(string_split(text, ' ')) AS INTEGER) END AS n,
-       CASE WHEN doc_id % 10 IN (3, 5, 7) THEN '' ELSE text END AS joined FROM documents""")
+SELECT doc_id, CAST(len(string_split(text, ' ')) AS INTEGER) AS n, text AS joined FROM documents
+UNION ALL SELECT -1 - doc_id, 0, '' FROM documents, (VALUES (1), (2), (3)) WHERE doc_id % 5 = 3""")
 def parse_tokens(spark, folder):
     d = table(spark, folder, "documents")
-    cell = (
-        F.when(F.col("doc_id") % 10 == 3, "[oops").when(F.col("doc_id") % 10 == 5, '{"a": 1}')
-        .when(F.col("doc_id") % 10 != 7, F.to_json(F.split("text", " ")))
-    )
-    t = VS.parse_token_lists(d.select("doc_id", cell.alias("cell")), "cell")
+    cells = d.select("doc_id", F.to_json(F.split("text", " ")).alias("cell"))
+    # Besides: broken, no list, and null, for every fifth document.
+    for odd in ("[oops", '{"a": 1}', None):
+        cells = cells.unionByName(d.filter("doc_id % 5 = 3").select((-1 - F.col("doc_id")).alias("doc_id"), F.lit(odd).cast("string").alias("cell")))
+    t = VS.parse_token_lists(cells, "cell")
     return t.select("doc_id", F.size("tokens").alias("n"), F.array_join("tokens", " ").alias("joined"))
 
 

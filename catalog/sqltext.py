@@ -50,7 +50,7 @@ def numeric_chunks(x: str) -> str:
 
 # RE2 has no look-ahead; its word boundary differs only next to a letter
 # outside ASCII, where a bare domain would end.
-TOKEN = P.social_token(r"\b")
+TOKEN = P.PLAIN_SOCIAL_TOKEN
 
 
 def shorten_runs(x: str, longest: int, only: str | None = None) -> str:

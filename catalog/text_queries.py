@@ -210,13 +210,9 @@ def short_id(spark, folder):
     return short_ids(d, "text", "position").select("doc_id", "sid")
 
 
-_COUNT_COLUMNS = [
-    "retweet_count", "reply_count", "like_count", "quote_count", "view_count", "bookmark_count",
-    "author_followers", "author_following",
-]
 ANONYMIZED_SQL = f"""SELECT row_id, search_date, substring(created_at, 1, 10) AS created_date, lang, source,
   {Q.redact('text')} AS text_redacted, CAST(length(text) AS INTEGER) AS text_length,
-  {', '.join(f"{Q.bucket(c)} AS {c}_bucket" for c in _COUNT_COLUMNS)},
+  {', '.join(f"{Q.bucket(c)} AS {c}_bucket" for c in schemas.COUNT_FIELDS)},
   is_reply, is_limited_reply,
   {', '.join(f"CAST(len(list_filter(string_split({c}, '|'), lambda p: p <> '')) AS INTEGER) AS {c}_count" for c in schemas.ENTITY_COLUMNS)},
   lower(text) LIKE '%recovery%' OR lower(text) LIKE '%recuper%' OR lower(text) LIKE '%treatment%'

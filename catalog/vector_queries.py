@@ -13,7 +13,7 @@ from tidepost.operators import (
     clusters as C, encoder as E, projection as P, similarity as S, tfidf as X, word_vectors as W,
 )
 from tidepost.operators.vector_sums import vector_sum
-from tidepost.session import materialize, scratch_path, spread
+from tidepost.session import materialize, scratch_path
 from tidepost.sinks.posts import write_stage_metadata
 
 # --- TF-IDF ----------------------------------------------------------------
@@ -31,18 +31,13 @@ raw AS (SELECT doc_id, term, tf * idf AS w FROM counts JOIN vocabulary USING (te
 tfidf AS (SELECT doc_id, term, round_even(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw)"""
 
 
-def entries(spark, folder):
-    return X.feature_entries(table(spark, folder, "documents"), "text", "doc_id")
-
-
 def vocabulary(spark, folder):
-    rows = table(spark, folder, "documents").agg(F.count(F.lit(1))).scalar()
-    return X.select_vocabulary(X.term_totals(entries(spark, folder)), rows)
+    return X.fit_vocabulary(table(spark, folder, "documents"), "text")
 
 
 @query("term_document_frequency", f"WITH {TERMS_SQL} SELECT * FROM totals")
 def term_document_frequency(spark, folder):
-    return X.term_document_frequency(table(spark, folder, "documents"), "text", "doc_id")
+    return X.term_document_frequency(table(spark, folder, "documents"), "text")
 
 
 @query("select_vocabulary", f"WITH {VOCABULARY_SQL} SELECT term, corpus_tf, df, round(idf, 6) AS idf FROM vocabulary")
@@ -52,13 +47,14 @@ def select_vocabulary(spark, folder):
 
 @query("vocab_restrict", f"WITH {VOCABULARY_SQL} SELECT doc_id, term, tf FROM counts WHERE term IN (SELECT term FROM vocabulary)")
 def vocab_restrict(spark, folder):
-    return X.vocab_restrict(entries(spark, folder), vocabulary(spark, folder)).select("doc_id", "term", "tf")
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    return X.vocab_restrict(documents, "text", vocabulary(spark, folder)).select("doc_id", "term", "tf")
 
 
-@query("tfidf", f"WITH {TFIDF_SQL} SELECT * FROM tfidf")
+@query("tfidf", f"WITH {TFIDF_SQL} SELECT doc_id, term, weight FROM documents LEFT JOIN tfidf USING (doc_id)")
 def tfidf(spark, folder):
-    weights = X.tfidf(table(spark, folder, "documents"), "text", "doc_id")
-    return weights.select("doc_id", F.explode("tfidf").alias("term", "weight"))
+    weights = X.tfidf(table(spark, folder, "documents").select("doc_id", "text"), "text")
+    return weights.select("doc_id", F.explode_outer("tfidf").alias("term", "weight"))
 
 
 def _weights_sql(source: str) -> str:
@@ -93,9 +89,9 @@ sums AS (SELECT lang, term, round(sum(weight), 6) AS weight FROM tfidf JOIN docu
 SELECT lang, CAST(rank AS INTEGER) AS rank, term, weight FROM (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY weight DESC, term) AS rank FROM sums) WHERE rank <= 10""")
 def top_terms_per_language(spark, folder):
-    d = table(spark, folder, "documents")
-    weights = X.tfidf(d, "text", "doc_id").select("doc_id", F.explode("tfidf").alias("term", "weight"))
-    sums = weights.join(d.select("doc_id", "lang"), "doc_id").groupBy("lang", "term").agg(
+    d = table(spark, folder, "documents").select("lang", "text")
+    weights = X.tfidf(d, "text").select("lang", F.explode("tfidf").alias("term", "weight"))
+    sums = weights.groupBy("lang", "term").agg(
         F.round(F.sum("weight"), 6).alias("weight")
     )
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("weight"), "term"))
@@ -240,7 +236,7 @@ def _long_sql(source: str, keys: str, vector: str = "vector") -> str:
 
 @query("encode_documents")
 def encode_documents(spark, folder):
-    p = spread(posts(spark, folder), "row_id")
+    p = posts(spark, folder)
     inputs = p.select("row_id", T.encoder_input(T.normalize_text(F.col("text")), F.col("hashtags")).alias("encoder_input"))
     return E.encode_documents(inputs, E.hashed_encoder(64)).select("row_id", "encoder_vector")
 

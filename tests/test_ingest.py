@@ -4,11 +4,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidepost import schemas
-from tidepost.operators import ledger as L, row_ids
+from tidepost.operators import ledger as L
 from tidepost.operators.anonymize import anonymize_posts
 from tidepost.operators.row_ids import assign_row_ids, migrate_add_row_id, short_ids
 from tidepost.sinks import posts as sinks
 from tidepost.sources import posts as sources
+from tidepost.sources.posts import explode_pages, flatten_post, rejected_pages
 from tidepost.sources.metadata import ENCODER_DEFAULTS, read_stage_metadata
 
 FULL = {
@@ -100,11 +101,28 @@ def test_migrate_keeps_rows_and_columns(spark):
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, new.collect()))
 
 
-@pytest.mark.parametrize("hot", [1, 1000])
-def test_short_ids_use_the_first_position(spark, monkeypatch, hot):
-    monkeypatch.setattr(row_ids, "HOT_SENTENCES", hot)
-    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "c")], "pos int, s string")
-    assert [r.sid for r in short_ids(df, "s", "pos").orderBy("pos").collect()] == ["S1", "S2", "S1", "S4"]
+def test_short_ids_use_the_first_position(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (3, "a"), (4, "c"), (5, None)], "pos int, s string")
+    assert [r.sid for r in short_ids(df, "s", "pos").orderBy("pos").collect()] == ["S1", "S2", "S1", "S4", None]
+
+
+PAGE = {"tweets": [{"id": "1", "text": "a"}, {"id": "2", "text": "b"}], "next_cursor": "c", "has_next_page": True}
+
+
+@pytest.mark.parametrize("value, posts, rejected", [
+    (json.dumps(PAGE), 2, 0), (json.dumps(PAGE, indent=2), 2, 0), (json.dumps(PAGE) + "\n" + json.dumps(PAGE) + "\n", 4, 0),
+    (json.dumps(PAGE)[:-9], 0, 1), (json.dumps(PAGE) + "\n" + json.dumps(PAGE)[:-9], 0, 1), (json.dumps(PAGE) + " x", 0, 1),
+    ("{}", 0, 0), ('{"tweets": null}', 0, 0), ('{"tweets": []}', 0, 0), ('{"tweets": "oops"}', 0, 1), ("", 0, 1), (None, 0, 1), ("[]", 0, 1), ("7", 0, 1),
+])
+def test_no_page_is_lost(spark, value, posts, rejected):
+    df = spark.createDataFrame([(value, 1)], "value string, page int")
+    assert (explode_pages(df).count(), rejected_pages(df).count()) == (posts, rejected)
+
+
+def test_count_beyond_64_bits_raises(spark):
+    df = spark.createDataFrame([(json.dumps({"tweets": [{"id": "1", "viewCount": "9" * 20}]}), "2024-01-01")], "value string, search_date string")
+    with pytest.raises(Exception, match="view_count does not fit"):
+        flatten_post(explode_pages(df)).collect()
 
 
 def test_anonymized_columns(spark):
@@ -123,6 +141,9 @@ def test_metadata_defaults(spark, tmp_path):
     sinks.write_stage_metadata(spark.sql("SELECT 'm' AS model, 5 AS vector_size"), path)
     row = read_stage_metadata(spark, path, ENCODER_DEFAULTS).first()
     assert (row.model, row.vector_size, row.pooling, row.max_length) == ("m", 5, "mean", 128)
+    # A stated null means that nothing was cut.
+    sinks.write_stage_metadata(spark.sql("SELECT 'm' AS model, CAST(NULL AS int) AS max_length"), path)
+    assert read_stage_metadata(spark, path, ENCODER_DEFAULTS).first().max_length is None
 
 
 # --- ledger ----------------------------------------------------------------

@@ -114,3 +114,11 @@ def test_clean_corpus_can_strip_urls_first(spark):
     assert clean_corpus(df, stop_words=[], strip_urls_first=True).orderBy("row_id").first().tokens == ["veja", "agora"]
     with pytest.raises(ValueError, match="missing columns"):
         clean_corpus(df.drop("text"))
+
+
+@pytest.mark.parametrize("unit", ["a.", "a@", "x@a.", "a-", "1 ", "#a'", "http://", "@", ".", "a"])
+def test_tokenizers_stay_linear_on_long_runs(spark, unit):
+    text = "x@a" + ".a" * 50_000 + "bb" if unit == "x@a." else unit * (100_000 // len(unit))
+    df = spark.createDataFrame([(text + " fim",)], "t string")
+    row = df.select(T.tokenize_post(F.col("t")).alias("a"), T.tokenize_w2v(F.col("t")).alias("b")).first()
+    assert row.a[-1] == "fim" and row.b[-1] == "fim"

@@ -28,22 +28,44 @@ def expected_tfidf(texts, max_df=0.85, min_df=2, cap=1000):
 @pytest.mark.parametrize("partitions,cap", [(1, 1000), (4, 1000), (3, 2)])
 def test_tfidf_matches_brute_force(spark, partitions, cap):
     df = spark.createDataFrame(list(enumerate(TEXTS)), "row_id int, text string").repartition(partitions)
-    rows = X.tfidf(df, "text", "row_id", max_features=cap).orderBy("row_id").collect()
+    rows = X.tfidf(df, "text", max_features=cap).orderBy("row_id").collect()
     assert [r.tfidf for r in rows] == expected_tfidf(TEXTS, cap=cap)
 
 
 @pytest.mark.parametrize("texts", [["gato casa"], ["", ""], ["um", "dois"]])
 def test_no_vocabulary_gives_empty_maps(spark, texts):
     df = spark.createDataFrame(list(enumerate(texts)), "row_id int, text string")
-    assert [r.tfidf for r in X.tfidf(df, "text", "row_id").collect()] == [{}] * len(texts)
+    assert [r.tfidf for r in X.tfidf(df, "text").collect()] == [{}] * len(texts)
 
 
-def test_tfidf_shuffles_texts_and_totals_only(spark, tables):
-    df = spark.read.parquet(f"{tables}/documents.parquet")
-    plan = X.tfidf(df, "text", "doc_id")._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in plan and "CartesianProduct" not in plan and "NestedLoop" not in plan
-    # Texts by key (twice in the text of the plan, shared at run time), term totals, row count.
-    assert plan.count("Exchange hashpartitioning") == 3 and plan.count("Exchange SinglePartition") <= 2
+def exchanged_columns(df):
+    """Types of what each exchange of the plan carries."""
+    plan, found = df._jdf.queryExecution().executedPlan(), []
+
+    def walk(node):
+        if "Exchange" in node.getClass().getSimpleName():
+            found.append(node.schema().simpleString())
+        if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+            walk(node.inputPlan())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(plan)
+    return found
+
+
+def test_no_exchange_carries_texts_or_tokens(spark, tables):
+    df = spark.read.parquet(f"{tables}/documents.parquet").select("doc_id", "text")
+    for result in (X.term_document_frequency(df, "text"), X.fit_vocabulary(df, "text"), X.tfidf(df, "text")):
+        carried = exchanged_columns(result)
+        assert not any("text" in c or "array" in c for c in carried), carried
+    assert not exchanged_columns(X.add_tfidf(df, "text", X.fit_vocabulary(df, "text")))
+
+
+def test_rows_of_one_key_keep_their_own_weights(spark):
+    df = spark.createDataFrame([(1, "gato casa"), (1, "gato"), (2, "casa gato azul"), (3, "verde")], "row_id int, text string")
+    assert sorted(len(r.tfidf) for r in X.tfidf(df, "text", max_df=1.0).collect()) == [0, 1, 2, 2]
 
 
 # --- similarity ------------------------------------------------------------

@@ -20,11 +20,6 @@ def require_rows(df: DataFrame, message: str) -> DataFrame:
     return df
 
 
-def has_at_most(df: DataFrame, limit: int) -> bool:
-    """True if `df` has no more than `limit` rows; stops counting beyond it."""
-    return df.limit(limit + 1).count() <= limit
-
-
 def collect_bounded(df: DataFrame, limit: int, what: str) -> list:
     """Collect a result that must be small, and refuse one that is not."""
     rows = df.limit(limit + 1).collect()

@@ -47,8 +47,11 @@ LONG_RUN = r"(.)\1{2,}"
 
 # Kinds of social-text token, tried in this order at each position.
 _MOUTH = r"[)\](\[dp/:}{@|\\]"
-_EMAIL = rf"[{WORD}.+\-]+@[{WORD}\-]+\.(?:[{WORD}\-]{{2,}}(?:\.[{WORD}\-]+)*|[{WORD}\-](?:\.[{WORD}\-]+)+)"
+_EMAIL = (
+    rf"[{WORD}.+\-]+@[{WORD}\-]+\.(?:[{WORD}\-]{{2,}}(?:\.[{WORD}\-]+)*|[{WORD}\-](?:\.[{WORD}\-]+)+)"
+)
 _LINK = rf"https?://[^{SPACE}]*[^{SPACE}.,;:!?'\"()\[\]{{}}<>]"
+# A domain name has at most 127 labels (the published limit of the name system).
 _DOMAIN = r"[a-z0-9]+(?:[.\-][a-z0-9]+){0,126}\.[a-z]{2,13}"
 _PHONE = rf"(?:\+?[01][ *\-.)]*)?(?:\(?{DIGIT}{{3}}[ *\-.)]*)?{DIGIT}{{3}}[ *\-.)]*{DIGIT}{{4}}"
 _EMOTICON = rf"[:;=8][\-o*']?{_MOUTH}|{_MOUTH}[\-o*']?[:;=8]|<3"
@@ -58,14 +61,22 @@ _JOINED_WORD = rf"[{LETTER}][{LETTER}'\-_]+[{LETTER}]"
 _NUMBER = rf"[+\-]?{DIGIT}+[,/.:\-]{DIGIT}+[+\-]?"
 _PLAIN_WORD = rf"[{WORD}]+"
 
+# The same two kinds for Java.  An e-mail address starts where its run of local characters
+# starts, and a domain at the first of its labels: later starts in the same run fail as the
+# first did, so looking back keeps the work linear.  Possessive repetition keeps Java from
+# recursing once per label of an address.
+_JAVA_EMAIL = (
+    rf"(?<![{WORD}.+\-])[{WORD}.+\-]++@[{WORD}\-]++\.(?:[{WORD}\-]{{2,}}+(?:\.[{WORD}\-]++)*+|[{WORD}\-](?:\.[{WORD}\-]++)++)"
+)
+_JAVA_DOMAIN = r"(?<![a-z0-9])(?<![a-z0-9][.\-])[a-z0-9]++(?:[.\-][a-z0-9]++){0,126}\.[a-z]{2,13}"
+
 
-def social_token(domain_end: str) -> str:
-    """The token pattern; `domain_end` says where a bare domain must stop."""
-    kinds = [
-        _EMAIL, _LINK, _DOMAIN + domain_end + "/?", _PHONE, _EMOTICON,
-        _HANDLE, _TAG, _JOINED_WORD, _NUMBER, _PLAIN_WORD,
-    ]
+def social_token(email: str, domain: str) -> str:
+    """The token pattern with the given forms of address and domain."""
+    kinds = [email, _LINK, domain + "/?", _PHONE, _EMOTICON, _HANDLE, _TAG, _JOINED_WORD, _NUMBER, _PLAIN_WORD]
     return "(?i)" + "|".join(kinds)
 
 
-SOCIAL_TOKEN = social_token(rf"(?![{WORD}])")
+SOCIAL_TOKEN = social_token(_JAVA_EMAIL, _JAVA_DOMAIN + rf"(?![{WORD}])")
+# Without look-around, for RE2.
+PLAIN_SOCIAL_TOKEN = social_token(_EMAIL, _DOMAIN + r"\b")

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tidepost import schemas
-from tidepost.checks import require_columns
+from tidepost.checks import require_columns, require_rows
 from tidepost.functions import text as T
+from tidepost.sinks.posts import export_csv
 
-_COUNTS = [
-    "retweet_count", "reply_count", "like_count", "quote_count", "view_count", "bookmark_count",
-    "author_followers", "author_following",
-]
+_COUNTS = list(schemas.COUNT_FIELDS)
 _NEEDED = [
     "search_date", "created_at", "lang", "source", "text", "is_reply", "is_limited_reply",
     *_COUNTS, *schemas.ENTITY_COLUMNS,
@@ -49,3 +47,11 @@ def anonymize_posts(df: DataFrame, terms: Iterable[str] = T.RECOVERY_TERMS) -> D
     columns |= {f"{name}_bucket": T.bucketize_metric(F.col(name)) for name in _COUNTS}
     columns |= {f"{name}_count": entity_count(name) for name in schemas.ENTITY_COLUMNS}
     return df.select(*[columns[name].alias(name) for name in schemas.ANONYMIZED_COLUMNS])
+
+
+def export_anonymized(posts: DataFrame, path: str, terms: Iterable[str] = T.RECOVERY_TERMS) -> int:
+    """Write the anonymized posts as CSV; returns the number of rows, and raises if there is none."""
+    rows = anonymize_posts(require_rows(posts, "no posts to export"), terms)
+    written = Observation()
+    export_csv(rows.observe(written, F.count(F.lit(1)).alias("rows")), path, schemas.ANONYMIZED_COLUMNS, [])
+    return written.get["rows"]

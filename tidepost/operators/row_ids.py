@@ -10,8 +10,6 @@ from tidepost.session import materialize
 
 # monotonically_increasing_id keeps the partition above bit 33.
 _PARTITION_SHIFT = 33
-# Sentences whose first position is sent to every executor.
-HOT_SENTENCES = 1000
 _POSITION_MASK = (1 << _PARTITION_SHIFT) - 1
 
 
@@ -49,21 +47,14 @@ def migrate_add_row_id(legacy: DataFrame, *order: str) -> DataFrame:
 
 
 def short_ids(df: DataFrame, sentence: str, position: str, out: str = "sid") -> DataFrame:
-    """`S` and the first position at which the row's sentence occurs.
+    """`S` and the first position at which the row's sentence occurs; null for a null sentence.
 
-    The most frequent sentences are looked up in a list of fixed length; what
-    remains for the shuffled join has no sentence with more than a
-    1/HOT_SENTENCES share of the rows.
+    Digests stand for the sentences in both shuffles; minima are combined before theirs,
+    and adaptive execution splits the rows of a frequent sentence in the join.
     """
     require_columns(df, sentence, position)
-    first = df.groupBy(sentence).agg(F.min(position).alias("_first"), F.count(F.lit(1)).alias("_rows"))
-    # At most HOT_SENTENCES rows.
-    hot = first.orderBy(F.desc("_rows"), sentence).limit(HOT_SENTENCES).select(
-        sentence, F.col("_first").alias("_hot")
-    )
-    marked = df.join(F.broadcast(hot), sentence, "left")
-    frequent = marked.filter(F.col("_hot").isNotNull()).withColumnRenamed("_hot", "_first")
-    rare = marked.filter(F.col("_hot").isNull()).drop("_hot").join(first.drop("_rows"), sentence, "left")
-    return frequent.unionByName(rare).select(
+    digest = F.sha2(F.col(sentence).cast("string"), 256).alias("_digest")
+    first = df.select(digest, position).groupBy("_digest").agg(F.min(position).alias("_first"))
+    return df.select("*", digest).join(first, "_digest", "left").select(
         *df.columns, F.concat(F.lit("S"), F.col("_first").cast("string")).alias(out)
     )

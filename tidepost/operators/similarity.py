@@ -438,6 +438,6 @@ def semantic_search(corpus: DataFrame, query: DataFrame, key: str = "row_id", ve
 
 def with_snippets(hits: DataFrame, posts: DataFrame, key: str = "row_id", text: str = "text",
                   length: int = 1000) -> DataFrame:
-    """Add the text of a bounded list of hits, on one line and cut to `length`."""
+    """Add the text of a bounded list of hits, on one line and cut to `length`; null for a hit without text."""
     texts = posts.select(key, snippet(F.col(text), length).alias("snippet"))
-    return hits.join(texts, key)
+    return hits.join(texts, key, "left")

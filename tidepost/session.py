@@ -6,9 +6,6 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Spark's default size of a file split.
-SPLIT_BYTES = 128 * 1024 * 1024
-
 # Settings the operators are written for.  Join and partition sizes stay under
 # adaptive execution; nothing here depends on the size of the data.
 RECOMMENDED_CONF = {
@@ -64,35 +61,6 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def fills_cluster(df) -> bool:
-    """True if the estimated input makes at least one default file split per core.
-
-    Uses the optimizer's size estimate only; nothing runs.
-    """
-    spark = df.sparkSession
-    if df.isStreaming:
-        return True
-    estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return estimate >= spark.sparkContext.defaultParallelism * SPLIT_BYTES
-
-
-def spread(df, *key: str):
-    """Deal a small input out over all cores before costly row-wise work.
-
-    An input that fills the cluster by its own splits is left alone: no shuffle.
-    """
-    if fills_cluster(df):
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *key)
-
-
-def deal_by_key(df, key: str):
-    """Hash-partition by key; adaptive execution sizes the partitions of a large input."""
-    if fills_cluster(df):
-        return df.repartition(key)
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
-
-
 def materialize(df, name: str):
     """Write `df` once to the shared folder and read it back.
 
