@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from catalog import sqltext as Q
 from catalog.base import POSTS_SQL, VECTORS_SQL, posts, query, rounded, table, vectors
-from catalog.text_queries import CLEAN_CTES
+from catalog.text_queries import CLEAN_CTES, ENCODER_INPUT_SQL, TAGS_SQL
 from tidepost.functions import text as T, vectors as V
 from tidepost.operators.clean import clean_corpus
 from tidepost.operators import (
@@ -234,17 +234,61 @@ def _long_sql(source: str, keys: str, vector: str = "vector") -> str:
     )
 
 
-@query("encode_documents")
+def encoded_sql(source: str, keys: str, name: str, pooling: str = "mean", salt: str = "") -> str:
+    """CTEs: `name`_words with the words read of each text, `name` with the components that are not 0."""
+    words = f"list_slice(regexp_extract_all(lower(text), {Q.lit(T.P.PLAIN_WORD)}), 1, {E.MAX_LENGTH})"
+    if pooling == "cls":
+        words = f"list_distinct({words})"
+    total = "sqrt(n)" if pooling == "cls" else "n"
+    return f"""{name}_words AS (SELECT {keys}, {words} AS w FROM {source}),
+{name}_slots AS (SELECT {keys}, n, CAST('0x' || substr(h, 1, 6) AS BIGINT) % {E.VECTOR_SIZE} AS dim,
+  1 - 2 * (CAST('0x' || substr(h, 7, 1) AS BIGINT) % 2) AS sign
+  FROM (SELECT {keys}, len(w) AS n, md5('{salt}|' || unnest(w)) AS h FROM {name}_words)),
+{name} AS (SELECT {keys}, CAST(dim AS INTEGER) AS dim, sum(sign) / {total} AS value FROM {name}_slots GROUP BY {keys}, dim, n HAVING sum(sign) <> 0)"""
+
+
+def sparse(df, *keys, vector):
+    """One line per component that is not 0."""
+    return _long(df.withColumn(vector, V.as_double(F.col(vector))), *keys, vector=vector).filter("value <> 0")
+
+
+@query("encode_documents", f"""WITH {POSTS_SQL}, inputs AS (SELECT row_id, {ENCODER_INPUT_SQL} AS text
+  FROM (SELECT row_id, {Q.normalize('text')} AS text, {TAGS_SQL} AS tags FROM posts)), {encoded_sql('inputs', 'row_id', 'encoded')}
+SELECT row_id, dim, round_even(value, 6) AS value FROM encoded""")
 def encode_documents(spark, folder):
     p = posts(spark, folder)
     inputs = p.select("row_id", T.encoder_input(T.normalize_text(F.col("text")), F.col("hashtags")).alias("encoder_input"))
-    return E.encode_documents(inputs, E.hashed_encoder(64)).select("row_id", "encoder_vector")
+    return sparse(E.encode_documents(inputs, E.hashed_encoder()), "row_id", vector="encoder_vector")
+
+
+@query("text_search", f"""WITH {encoded_sql('documents', 'doc_id', 'd')},
+asked AS (SELECT 0 AS item, text FROM benchmark ORDER BY item_id LIMIT 1), {encoded_sql('asked', 'item', 'q')},
+n AS (SELECT count(*) AS n FROM documents),
+m AS (SELECT dim, sum(value) / (SELECT n FROM n) AS m FROM d GROUP BY 1),
+mm AS (SELECT sum(m * m) AS mm FROM m),
+qq AS (SELECT sum(value * value) AS qq, sum(value * coalesce(m, 0)) AS qm FROM q LEFT JOIN m USING (dim)),
+scored AS (SELECT doc_id, sum(d.value * coalesce(q.value, 0)) AS vq, sum(d.value * d.value) AS vv, sum(d.value * m) AS vm
+  FROM d JOIN m USING (dim) LEFT JOIN q USING (dim) GROUP BY 1),
+hits AS (SELECT doc_id, (coalesce(vq, 0) - coalesce(vm, 0) - qm + mm) / (sqrt(coalesce(vv, 0) - 2 * coalesce(vm, 0) + mm) * sqrt(qq - 2 * qm + mm)) AS s
+  FROM documents LEFT JOIN scored USING (doc_id), mm, qq ORDER BY s DESC, doc_id LIMIT 10)
+SELECT doc_id AS row_id, round(s, 6) AS similarity, substr(replace(text, chr(10), ' '), 1, 1000) AS snippet FROM hits JOIN documents USING (doc_id)""")
+def text_search(spark, folder):
+    texts = table(spark, folder, "documents").select(F.col("doc_id").alias("row_id"), "text")
+    corpus = E.encode_documents(texts, E.hashed_encoder(), "text", "vector", digits=None).select("row_id", "vector")
+    asked = table(spark, folder, "benchmark").orderBy("item_id").limit(1).select("text")
+    query_vector = E.encode_documents(asked, E.hashed_encoder(), "text", "vector", digits=None).select("vector")
+    # Read for the corpus mean and for the scores.
+    hits = S.semantic_search(materialize(corpus, "encoded"), materialize(query_vector, "asked"), "row_id", "vector", 10)
+    return rounded(S.with_snippets(hits, texts), "similarity")
 
 
 _MODELS = {
-    (model, pooling): E.hashed_encoder(32, pooling, salt=model)
+    (model, pooling): E.hashed_encoder(pooling=pooling, salt=model)
     for model in ("model-a", "model-b") for pooling in E.POOLINGS
 }
+_FAMILY_SQL = [
+    (model, pooling, f"f{i}", encoded_sql("texts", "row_id", f"f{i}", pooling, model)) for i, (model, pooling) in enumerate(_MODELS)
+]
 
 
 def families(spark, folder):
@@ -254,9 +298,10 @@ def families(spark, folder):
     return E.embed_all_models(texts, _MODELS)
 
 
-@query("embed_all_models")
+@query("embed_all_models", f"""WITH texts AS (SELECT conv_id * 1000 + turn AS row_id, text FROM conversations), {', '.join(s for *_, s in _FAMILY_SQL)}
+{' UNION ALL '.join(f"SELECT '{model}' AS model, '{pooling}' AS pooling, row_id, dim, round_even(value, 6) AS value FROM {name}" for model, pooling, name, _ in _FAMILY_SQL)}""")
 def embed_all_models(spark, folder):
-    return families(spark, folder).select("model", "pooling", "row_id", "vector")
+    return sparse(families(spark, folder), "model", "pooling", "row_id", vector="vector")
 
 
 def token_vectors(spark, folder):

@@ -20,6 +20,7 @@ FAST_SPACES = r"(?U)[\s\x1C-\x1F]+"
 EDGE_SPACES = rf"^[{SPACE}]+|[{SPACE}]+$"
 NOT_WORD_OR_SPACE = rf"[^{WORD}{SPACE}]"
 ANY_WORD = rf"[{WORD}]"
+PLAIN_WORD = rf"[{WORD}]+"
 ONLY_DIGITS = rf"^{DIGIT}+$"
 FEATURE_TOKEN = rf"[{WORD}]{{2,}}"
 
@@ -59,7 +60,6 @@ _HANDLE = rf"@[{WORD}]+"
 _TAG = rf"#+[{WORD}]+[{WORD}'\-]*[{WORD}]+"
 _JOINED_WORD = rf"[{LETTER}][{LETTER}'\-_]+[{LETTER}]"
 _NUMBER = rf"[+\-]?{DIGIT}+[,/.:\-]{DIGIT}+[+\-]?"
-_PLAIN_WORD = rf"[{WORD}]+"
 
 # The same two kinds for Java.  An e-mail address starts where its run of local characters
 # starts, and a domain at the first of its labels: later starts in the same run fail as the
@@ -73,7 +73,7 @@ _JAVA_DOMAIN = r"(?<![a-z0-9])(?<![a-z0-9][.\-])[a-z0-9]++(?:[.\-][a-z0-9]++){0,
 
 def social_token(email: str, domain: str) -> str:
     """The token pattern with the given forms of address and domain."""
-    kinds = [email, _LINK, domain + "/?", _PHONE, _EMOTICON, _HANDLE, _TAG, _JOINED_WORD, _NUMBER, _PLAIN_WORD]
+    kinds = [email, _LINK, domain + "/?", _PHONE, _EMOTICON, _HANDLE, _TAG, _JOINED_WORD, _NUMBER, PLAIN_WORD]
     return "(?i)" + "|".join(kinds)
 
 
