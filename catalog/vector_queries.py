@@ -192,10 +192,26 @@ def vocabulary_summary(spark, folder):
     return W.vocabulary_summary(doc_tokens(spark, folder), "tokens")
 
 
-@query("word2vec_fit")
+@query("word2vec_fit", f"""WITH lists AS (SELECT doc_id, {_TOKENS} AS t FROM documents),
+places AS (SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) AS p FROM lists),
+pairs AS (SELECT a.w AS word, b.w AS context, count(*) AS n FROM places a JOIN places b
+  ON a.doc_id = b.doc_id AND b.p BETWEEN a.p - {W.WINDOW} AND a.p + {W.WINDOW} AND a.p <> b.p GROUP BY 1, 2),
+margins AS (SELECT word, sum(n) AS total FROM pairs GROUP BY 1),
+weights AS (SELECT word, CAST('0x' || substr(md5(context), 1, 6) AS BIGINT) % {W.VECTOR_SIZE} AS place,
+  (1 - 2 * (CAST('0x' || substr(md5(context), 7, 1) AS BIGINT) % 2))
+    * ln(n * (SELECT sum(n) :: DOUBLE FROM pairs) / (CAST(m.total AS DOUBLE) * c.total)) AS x,
+  ln(n * (SELECT sum(n) :: DOUBLE FROM pairs) / (CAST(m.total AS DOUBLE) * c.total)) AS weight
+  FROM pairs JOIN margins m USING (word) JOIN margins c ON c.word = context),
+vectors AS (SELECT word, place, sum(x) AS x FROM weights WHERE weight > 0 GROUP BY 1, 2),
+norms AS (SELECT word, sqrt(sum(x * x)) AS norm FROM vectors GROUP BY 1),
+summed AS (SELECT word, sum((place + 1) * x / norm) AS weighted, sum(abs(x) / norm) AS absolute FROM vectors JOIN norms USING (word) WHERE norm > 0 GROUP BY 1)
+SELECT word, round(coalesce(weighted, 0.0), 5) AS weighted, round(coalesce(absolute, 0.0), 5) AS absolute
+FROM (SELECT DISTINCT w AS word FROM places) LEFT JOIN summed USING (word)""")
 def word2vec_fit(spark, folder):
-    model = W.word2vec_fit(doc_tokens(spark, folder), "tokens", vector_size=16, min_count=5, epochs=1)
-    return W.word_vector_table(model)
+    fitted = W.fit_word_vectors(doc_tokens(spark, folder), "tokens")
+    total = lambda f: F.round(F.aggregate(F.transform("vector", f), F.lit(0.0), lambda a, b: a + b), 5)
+    # All components in two numbers per word.
+    return fitted.select("word", total(lambda x, i: (i + 1) * x).alias("weighted"), total(F.abs).alias("absolute"))
 
 
 @query("keyword_vector_search", f"""WITH {WORDS_SQL},

@@ -172,14 +172,22 @@ def test_mean_word_vector_fallback(spark):
     assert [r.vector for r in rows] == [[1.0], [4.0], [0.0]]
 
 
-def test_word2vec(spark, monkeypatch):
-    df = spark.createDataFrame([(["a", "b", "c"],), (["a", "c"],), ([],)], "w2v_tokens array<string>")
-    model = W.word2vec_fit(df, vector_size=4, epochs=1, partitions=1)
-    table = W.word_vector_table(model).collect()
-    assert {r.word for r in table} == {"a", "b", "c"} and all(len(r.vector) == 4 for r in table)
-    monkeypatch.setattr(W, "MAX_MODEL_CELLS", 8)
-    with pytest.raises(ValueError, match="do not fit"):
-        W.word2vec_fit(df, vector_size=4)
+def test_word_vectors_do_not_depend_on_partitions(spark):
+    texts = ["o gato dorme na casa", "a casa azul do gato", "gato e casa", "", "sol", "o cão dorme na rua"] * 3
+    df = spark.createDataFrame([(t.split(),) for t in texts], "tokens array<string>")
+    fit = lambda d, **p: {r.word: r.vector for r in W.fit_word_vectors(d, "tokens", 8, **p).collect()}
+    one, many = fit(df.coalesce(1)), fit(df.repartition(8))
+    assert set(one) == {w for t in texts for w in t.split()} and one["sol"] == [0.0] * 8
+    for word, vector in one.items():
+        assert np.allclose(vector, many[word]) and (word == "sol" or abs(np.linalg.norm(vector) - 1) < 1e-9)
+    assert set(fit(df, min_count=9)) == {"gato", "casa"}
+    assert fit(df.filter("false")) == {}
+
+
+def test_pair_counts_match_brute_force(spark):
+    tokens = "a b a c b a a".split()
+    got = {(r.word, r.context): r.n for r in W.pair_counts(spark.createDataFrame([(tokens,)], "tokens array<string>"), "tokens", 2).collect()}
+    assert got == dict(Counter((tokens[i], tokens[j]) for i in range(7) for j in range(7) if 0 < abs(i - j) <= 2))
 
 
 def test_keyword_search_without_known_word(spark, frame):
