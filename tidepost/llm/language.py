@@ -38,12 +38,19 @@ def training_sample(docs: DataFrame, windows: int = TRAINING_WINDOWS) -> list[tu
     Every row gives one window before any gives a second.  Spark cuts the windows, at
     places given by the hash, and sends only those.
     """
-    turn = F.explode(F.sequence(F.lit(0), F.lit(WINDOWS_PER_ROW - 1))).alias("turn")
-    labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & in_training(F.col("doc_id")))
-    placed = labelled.select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id", turn)
+    candidates = docs.filter(F.col("lang").isNotNull() & in_training(F.col("doc_id")))
+    # A first cut by the same hash leaves about twice the windows wanted, however large the table:
+    # tasks send no more than that to the driver.
+    rows = max(1, candidates.count())
+    share, turns = min(1.0, 2.0 * windows / rows), min(WINDOWS_PER_ROW, -(-2 * windows // rows))
+    turn = F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn")
+    labelled = candidates.filter(F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id", turn)
     place = F.xxhash64("doc_id", "turn")
+    early = F.shiftrightunsigned(place, 1) < F.lit(share * 2.0**63)
     start = F.pmod(F.shiftright(place, 7), F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1) + 1
-    cut = placed.select("lang", F.col("text").substr(start.cast("int"), F.lit(WINDOW)).alias("window"), "turn", place.alias("place"))
+    cut = labelled.filter(early).select(
+        "lang", F.col("text").substr(start.cast("int"), F.lit(WINDOW)).alias("window"), "turn", F.shiftrightunsigned(place, 1).alias("place")
+    )
     chosen = cut.orderBy("turn", "place", "lang", "window").limit(windows)
     return [(r["lang"], r["window"]) for r in chosen.collect() if _LETTER(r["window"])]
 
