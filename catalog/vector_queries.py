@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Window, functions as F
 
 from catalog import sqltext as Q
@@ -494,6 +495,27 @@ def kmeans(spark, folder):
     return C.kmeans(centered(spark, folder)).assigned
 
 
+@query("kmeans_facts", """
+SELECT count(*) AS rows, CAST(5 AS BIGINT) AS clusters, CAST(0 AS BIGINT) AS misplaced, 0.0 :: DOUBLE AS shift FROM embeddings""")
+def kmeans_facts(spark, folder):
+    """Every row is with its nearest centroid, and every centroid is the mean of its rows."""
+    rows = centered(spark, folder)
+    found = C.kmeans(rows)
+    centers = spark.createDataFrame(
+        [(i, [float(x) for x in c]) for i, c in enumerate(found.model.clusterCenters())], "cluster int, vector array<double>"
+    )
+    own = rows.select("row_id", V.as_double(F.col("vector")).alias("v")).join(found.assigned, "row_id").join(centers, "cluster")
+    nearest = C.assign_nearest_centroid(rows, centers).select("row_id", "squared_distance")
+    farther = V.squared_distance(F.col("v"), F.col("vector")) > F.col("squared_distance") + 1e-9
+    misplaced = own.join(nearest, "row_id").agg(F.count(F.lit(1)).alias("rows"), F.count_if(farther).alias("misplaced"))
+    off = own.groupBy("cluster").agg(vector_sum(V.divide(F.col("v"), F.lit(1.0))).alias("s"), F.count(F.lit(1)).cast("double").alias("n"), F.first("vector").alias("c"))
+    shift = off.select(F.aggregate(F.zip_with(V.divide(F.col("s"), F.col("n")), "c", lambda a, b: F.abs(a - b)), F.lit(0.0), lambda a, b: F.greatest(a, b)).alias("d"))
+    return misplaced.select(
+        "rows", off.agg(F.count(F.lit(1))).scalar().alias("clusters"), "misplaced",
+        F.abs(F.round(shift.agg(F.max("d")).scalar(), 3)).alias("shift"),
+    )
+
+
 @query("cluster_families")
 def cluster_families(spark, folder):
     return C.cluster_families(materialize(families(spark, folder), "families"), "row_id")
@@ -562,6 +584,23 @@ def pca_project(spark, folder):
     return rounded(P.pca_project(vectors(spark, folder), k=3).rows, "pc1", "pc2", "pc3")
 
 
+@query("pca_facts", f"""WITH {VECTORS_SQL},
+cells AS (SELECT unnest(vector) AS x, generate_subscripts(vector, 1) AS dim FROM vecs)
+SELECT (SELECT count(*) FROM vecs) AS rows, round(sum(v), 4) AS total_variance, 0.0 :: DOUBLE AS center, 0.0 :: DOUBLE AS correlation, 0.0 :: DOUBLE AS skew
+FROM (SELECT var_samp(x) AS v FROM cells GROUP BY dim)""")
+def pca_facts(spark, folder):
+    """Components are orthonormal, projections centered and uncorrelated, ratios shares of the total variance."""
+    found = P.pca_project(vectors(spark, folder), k=3)
+    skew = abs(found.components.T @ found.components - np.eye(3)).max()
+    zero = lambda c, digits=6: F.abs(F.round(c, digits))
+    return found.rows.agg(
+        F.count(F.lit(1)).alias("rows"), F.round(F.var_samp("pc1") / F.lit(found.ratios[0]), 4).alias("total_variance"),
+        zero(F.greatest(*[F.abs(F.avg(f"pc{i}")) for i in (1, 2, 3)])).alias("center"),
+        zero(F.greatest(F.abs(F.corr("pc1", "pc2")), F.abs(F.corr("pc1", "pc3")), F.abs(F.corr("pc2", "pc3")))).alias("correlation"),
+        zero(F.lit(float(skew))).alias("skew"),
+    )
+
+
 @query("explained_variance")
 def explained_variance(spark, folder):
     v = vectors(spark, folder)

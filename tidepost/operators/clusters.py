@@ -14,6 +14,7 @@ from tidepost.checks import collect_bounded, require_columns
 from tidepost.functions import vectors as V
 from tidepost.functions.text import snippet
 from tidepost.operators.encoder import concat_results
+from tidepost.session import materialize
 
 # Settings of the clustering.
 CLUSTERS = 5
@@ -52,11 +53,13 @@ def kmeans(df: DataFrame, key: str = "row_id", vector: str = "vector", k: int =
     try:
         with ThreadPool(min(parallelism, restarts)) as pool:
             models = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(restarts))
+        costs = [model.summary.trainingCost for model in models]
+        best = models[costs.index(min(costs))]
+        # Stored while the features are at hand; later readers do not compute them again.
+        assigned = materialize(best.transform(features).select(key, "cluster"), "clusters")
     finally:
         features.unpersist()
-    costs = [model.summary.trainingCost for model in models]
-    best = models[costs.index(min(costs))]
-    return Clustering(best, costs, best.transform(features).select(key, "cluster"))
+    return Clustering(best, costs, assigned)
 
 
 def cluster_families(df: DataFrame, key: str, k: int = 3, restarts: int = 1, seed: int = SEED) -> DataFrame:
