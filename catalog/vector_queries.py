@@ -266,7 +266,8 @@ def encoded_sql(source: str, keys: str, name: str, pooling: str = "mean", salt:
 
 def sparse(df, *keys, vector):
     """One line per component that is not 0."""
-    return _long(df.withColumn(vector, V.as_double(F.col(vector))), *keys, vector=vector).filter("value <> 0")
+    numbered = F.transform(V.as_double(F.col(vector)), lambda x, i: F.struct(i.alias("dim"), F.round(x, 6).alias("value")))
+    return df.select(*keys, F.inline(F.filter(numbered, lambda e: e["value"] != 0)))
 
 
 @query("encode_documents", f"""WITH {POSTS_SQL}, inputs AS (SELECT row_id, {ENCODER_INPUT_SQL} AS text
