@@ -24,9 +24,12 @@ def worker_memo(key: tuple, build: Callable[[], object]) -> object:
     """
     name = "tidepost_worker_state"
     state = sys.modules.setdefault(name, types.ModuleType(name)).__dict__
-    if key not in state:
-        state[key] = build()
-    return state[key]
+    memos = state.setdefault("memos", {})
+    if key not in memos:
+        # One at a time: what an earlier job of this worker needed makes room.
+        memos.clear()
+        memos[key] = build()
+    return memos[key]
 
 
 class WordCache(dict):
@@ -156,8 +159,10 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def open_store(uri: str) -> tuple[pafs.FileSystem, str]:
-    """File system and path of a URI or of a plain path."""
-    if "://" in uri or uri.startswith("file:"):
+    """File system and path of a URI (`file:/a` as Hadoop writes it, too) or of a plain path."""
+    if uri.startswith("file:"):
+        return pafs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
+    if "://" in uri:
         return pafs.FileSystem.from_uri(uri)
     return pafs.LocalFileSystem(), uri
 

@@ -23,6 +23,8 @@ from tidepost.session import materialize
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 10, 5, 20
 # Texts of fewer tokens are not judged by fertility, and smaller groups have no bands of their own.
 MIN_TOKENS, MIN_GROUP = 150, 30
+# Languages that get a band of their own, the most frequent first: a bound far above their number.
+MOST_GROUPS = 2_000
 # A group's own band of characters per token, around its median: so many interquartile ranges
 # below and above, but never narrower than this share of the median.
 BELOW, ABOVE, NARROWEST = 3.0, 6.0, 0.06
@@ -101,7 +103,7 @@ class Yardstick:
         self.model = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
         self.size = self.model.vocab_size()
         self.fallback = np.array([self.model.is_byte(i) for i in range(self.size)])
-        self.cache = WordCache(self._encode)
+        self.cache = WordCache(self._encode, 300_000)
 
     def _encode(self, words: list[bytes]) -> list[bytes]:
         return [np.array(ids, "<u2" if self.size < 1 << 16 else "<u4").tobytes() for ids in self.model.encode([w.decode() for w in words], num_threads=1)]
@@ -159,7 +161,7 @@ def group_bands(measures: DataFrame) -> DataFrame:
     width = lambda times: F.greatest(times * spread, NARROWEST * F.col("q2"))
     return (
         counts.groupBy("group").agg(quartile(0.25).alias("q1"), quartile(0.5).alias("q2"), quartile(0.75).alias("q3"), F.max("all").alias("rows"))
-        .filter(F.col("rows") >= MIN_GROUP)
+        .filter(F.col("rows") >= MIN_GROUP).orderBy(F.desc("rows"), "group").limit(MOST_GROUPS)
         .select("group", (F.col("q2") - width(BELOW)).alias("least"), (F.col("q2") + width(ABOVE)).alias("most"))
     )
 
@@ -178,7 +180,8 @@ def judged(measures: DataFrame, bands: dict[str, tuple[float, float, float, floa
         .when(100 * q["byte_share"] > limit(2), "byte fallback")
         .when(relative < limit(3), "low token entropy")
     )
-    return measures.join(group_bands(measures), "group", "left").withColumns({"base": base, "reason": reason})
+    # At most MOST_GROUPS rows are sent; the documents stay where they are.
+    return measures.join(F.broadcast(group_bands(measures)), "group", "left").withColumns({"base": base, "reason": reason})
 
 
 def quality_rules(docs: DataFrame, vocabulary: str, bands: dict[str, tuple[float, float, float, float]] = BANDS) -> DataFrame:

@@ -17,7 +17,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tidepost.llm.common import in_batches, text_or_empty
 from tidepost.llm.components import connected_components
@@ -270,6 +270,7 @@ def one_of_each(docs: DataFrame, width: int = 3, distance: int = 2, seed: int =
     """
     kept = near_duplicates(docs, width, distance, seed).filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n"))
     kept = materialize(kept, "kept-ids")
-    single = docs.join(kept.filter("_n = 1").select("doc_id"), "doc_id", "left_semi")
-    repeated = docs.join(kept.filter("_n > 1").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    # The ids grow with the documents, so they are never sent to all executors.
+    chosen = lambda condition: docs.join(kept.filter(condition).select("doc_id").hint("merge"), "doc_id", "left_semi")
+    single, repeated = chosen("_n = 1"), chosen("_n > 1").dropDuplicates(["doc_id"])
     return single.unionByName(repeated).unionByName(docs.filter("doc_id IS NULL")).select(*docs.columns)
