@@ -79,8 +79,8 @@ class ByteBpe:
         white = "\\t-\\r\\x20\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
         exact = pattern.replace("[^\\s", f"[^{white}").replace("\\s", f"[{white}]").replace("\\S", f"[^{white}]")
         self.split = regex.compile(exact).findall
-        self.pretokens = WordCache(self._encode_pretokens, 400_000)
-        self.cache = WordCache(self._encode_chunks, 400_000)
+        self.pretokens = WordCache(self._encode_pretokens, 250_000)
+        self.cache = WordCache(self._encode_chunks, 300_000)
 
     def _encode_pretokens(self, pretokens: list[str]) -> list[bytes]:
         """A pre-token that is a token as a whole is that token; any other is merged."""
