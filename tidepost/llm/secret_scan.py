@@ -4,8 +4,9 @@ The text is the first layer.  Each layer is scanned; then its encoded fragments
 escapes, Unicode and hexadecimal escapes, base64, compressed data) are decoded into further layers, which
 are put on the worklist unless the same bytes were seen before.  The list runs dry at the
 fixpoint: a layer only comes from a fragment of another, and a layer seen before is a cycle
-or a repeat.  Every byte of a layer knows the part of the text that it comes from, so what is
-found in a layer is reported as a span of the text.
+or a repeat.  Every byte of a layer knows the part of the outer layer that it comes from, at
+each place where the layer stands, so what is found in a layer is reported as a span of the
+text for every place.
 """
 
 from __future__ import annotations
@@ -156,20 +157,31 @@ def fragments(layer: Layer) -> Iterator[Layer]:
 def scan(data: bytes) -> tuple[list[tuple[int, int, str]], set[tuple[int, int, str]]]:
     """Base matches of the text and all matches of decoded layers, as byte spans of the text."""
     base = list(base_matches(data))
-    found: set[tuple[int, int, str]] = set()
-    seen, worklist = {data}, [Layer(data)]
+    # Each distinct layer is scanned and decoded once; `places` has all fragments that decode to it, with their outer layer.
+    places: dict[bytes, list[tuple[bytes, Layer]]] = {data: []}
+    found: dict[bytes, set[tuple[int, int, str]]] = {data: set()}
+    news, worklist = [(data, match) for match in base], [data]
     while worklist:
-        for inner in fragments(worklist.pop()):
-            if not inner.data and inner.first is not None and len(inner.first):
-                found.add((int(inner.first[0]), int(inner.last[0]), "bomb"))
-            if inner.data in seen:
+        outer = worklist.pop()
+        for inner in fragments(Layer(outer)):
+            if not inner.data:
+                if len(inner.first):
+                    news.append((outer, (int(inner.first[0]), int(inner.last[0]), "bomb")))
                 continue
-            seen.add(inner.data)
-            worklist.append(inner)
-            for start, end, kind in base_matches(inner.data):
-                found.add((*inner.origin(start, end), kind))
+            if inner.data not in places:
+                places[inner.data], found[inner.data] = [], set()
+                worklist.append(inner.data)
+                news.extend((inner.data, match) for match in base_matches(inner.data))
+            places[inner.data].append((outer, inner))
+    # A match goes to every place of its layer, once per span, so cycles of layers end.
+    while news:
+        layer, match = news.pop()
+        if match not in found[layer]:
+            found[layer].add(match)
+            start, end, kind = match
+            news.extend((outer, (*inner.origin(start, end), kind)) for outer, inner in places[layer])
     # A match that is the same text without any decoding adds nothing.
-    return base, found - set(base)
+    return base, found[data] - set(base)
 
 
 def _in_characters(data: bytes, spans: list[tuple[int, int, str]]) -> list[tuple[int, int, str]]:
