@@ -11,7 +11,6 @@ text for every place.
 
 from __future__ import annotations
 
-import base64
 import binascii
 import bz2
 import lzma
@@ -31,16 +30,26 @@ _ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 _HEX = re.compile(rb"[0-9a-f]{24,}")
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 
-# Encoded fragments: runs without white space that hold a percent or a backslash escape, and base64 of 16 or more
-# characters (either alphabet).
+# Encoded fragments: runs without white space that hold a percent or a backslash escape, and base64 (either alphabet) of
+# LEAST_BASE64 or more characters, over single line breaks.
+LEAST_BASE64 = 16
 _RUNS = re.compile(rb"\S+")
-_BASE64 = re.compile(rb"[A-Za-z0-9+/_-]{16,}={0,2}")
+_CHARACTER = rb"[A-Za-z0-9+/_-]"
+_BASE64 = re.compile(
+    rb"(?<!%b)(?=[A-Za-z0-9+/_\r\n-]{%d})%b+(?:\r?\n%b+)*={0,2}" % (_CHARACTER, LEAST_BASE64, _CHARACTER, _CHARACTER)
+)
+_PLAIN_DIGITS = bytes.maketrans(b"-_", b"+/")
+# Text in decoded bytes: printable ASCII, white space, and anything above ASCII in valid UTF-8; an assignment, the
+# shortest match, has 12 characters.  Then the ways in which compressed data starts.
+_STRETCHES = re.compile(
+    rb"(?:[\t\n\r\x20-\x7e]|[\xc2-\xdf][\x80-\xbf]|\xe0[\xa0-\xbf][\x80-\xbf]|[\xe1-\xec\xee\xef][\x80-\xbf]{2}|\xed[\x80-\x9f][\x80-\xbf]"
+    rb"|\xf0[\x90-\xbf][\x80-\xbf]{2}|[\xf1-\xf3][\x80-\xbf]{3}|\xf4[\x80-\x8f][\x80-\xbf]{2}){12,}"
+)
+_COMPRESSED = re.compile(rb"\x1f\x8b\x08|\x78[\x01\x5e\x9c\xda]|BZh[1-9]|\xfd7zXZ\x00")
 _ONE_PERCENT = re.compile(rb"%([0-9A-Fa-f]{2})")
 _ONE_ESCAPE = re.compile(rb"\\(?:u([0-9A-Fa-f]{4})|u\{([0-9A-Fa-f]{1,6})\}|U([0-9A-Fa-f]{8})|x([0-9A-Fa-f]{2}))")
 # A decompressed layer beyond this is not held; it is reported as kind `bomb` instead.
 MAX_LAYER_BYTES = 64 << 20
-# Bytes that make a decoded fragment text: printable ASCII, white space, and anything above ASCII if it is valid UTF-8.
-_CONTROL = bytes(range(9)) + bytes(range(14, 32)) + b"\x7f\x0b\x0c"
 
 
 def base_matches(data: bytes) -> Iterator[tuple[int, int, str]]:
@@ -100,24 +109,14 @@ def _escape_bytes(m: re.Match) -> bytes:
     return b"?" if 0xD800 <= point < 0xE000 or point > 0x10FFFF else chr(point).encode()
 
 
-def _readable(data: bytes) -> bool:
-    if not data or data.translate(None, _CONTROL) != data:
-        return False
-    try:
-        data.decode()
-    except UnicodeDecodeError:
-        return False
-    return True
-
-
-def decompressed(data: bytes) -> bytes | None:
+def decompressed(data: bytes | memoryview) -> bytes | None:
     """What gzip, zlib, bzip2 or xz data holds; None if it is neither, more than MAX_LAYER_BYTES if it is too large."""
     makers = [
         (b"\x1f\x8b", lambda: zlib.decompressobj(31)), (b"\x78", lambda: zlib.decompressobj()),
         (b"BZh", bz2.BZ2Decompressor), (b"\xfd7zXZ\x00", lzma.LZMADecompressor),
     ]
     for magic, make in makers:
-        if data.startswith(magic):
+        if data[: len(magic)] == magic:
             try:
                 return make().decompress(data, MAX_LAYER_BYTES + 1)
             except (zlib.error, OSError, lzma.LZMAError, EOFError):
@@ -129,6 +128,26 @@ def _runs_with(escape, data: bytes) -> Iterator[re.Match]:
     return (m for m in _RUNS.finditer(data) if escape.search(data, m.start(), m.end()))
 
 
+def _decoded_base64(layer: Layer, start: int, run: bytes) -> Iterator[Layer]:
+    """What a run holds at each of the four alignments: text between other bytes, and compressed data from its first byte on.
+
+    So neither characters before the encoded part (of a path, say, or of a name) nor after it matter.
+    """
+    body = run.translate(_PLAIN_DIGITS, b"\r\n")
+    if len(body) < LEAST_BASE64:
+        return
+    at = start + np.flatnonzero(~np.isin(np.frombuffer(run, np.uint8), (10, 13)))
+    for shift in range(4):
+        # One character over carries no byte; padding is restored.
+        length = len(body) - shift - ((len(body) - shift) % 4 == 1)
+        raw = binascii.a2b_base64(body[shift : shift + length] + b"=" * (-length % 4))
+        pieces = [m.span() for m in _STRETCHES.finditer(raw)]
+        pieces += [(m.start(), len(raw)) for m in _COMPRESSED.finditer(raw) if decompressed(memoryview(raw)[m.start() :]) is not None]
+        for a, b in pieces:
+            i = np.arange(a, b)
+            yield layer.child(raw[a:b], at[shift + i * 8 // 6], at[shift + (i * 8 + 7) // 6] + 1)
+
+
 def fragments(layer: Layer) -> Iterator[Layer]:
     """One layer for each encoded fragment of `layer` that decodes to text or compressed data."""
     data = layer.data
@@ -139,16 +158,7 @@ def fragments(layer: Layer) -> Iterator[Layer]:
         for m in _runs_with(_ONE_ESCAPE, data):
             yield _substituted(layer, m.start(), m.end(), _ONE_ESCAPE, _escape_bytes)
     for m in _BASE64.finditer(data):
-        body = m[0].rstrip(b"=")
-        # One character over carries no byte; padding is restored.
-        body = body[: len(body) - (len(body) % 4 == 1)]
-        try:
-            raw = base64.b64decode(body.translate(bytes.maketrans(b"-_", b"+/")) + b"=" * (-len(body) % 4), validate=True)
-        except (binascii.Error, ValueError):
-            continue
-        if _readable(raw) or decompressed(raw) is not None:
-            i = np.arange(len(raw))
-            yield layer.child(raw, m.start() + i * 8 // 6, m.start() + (i * 8 + 8 + 5) // 6)
+        yield from _decoded_base64(layer, m.start(), m[0].rstrip(b"="))
     if (plain := decompressed(data)) is not None:
         first, last = layer.origin(0, len(data))
         yield Layer(plain, np.full(len(plain), first), np.full(len(plain), last)) if len(plain) <= MAX_LAYER_BYTES else Layer(b"", np.array([first]), np.array([last]))
