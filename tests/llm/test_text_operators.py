@@ -79,6 +79,22 @@ def test_script_and_byte_share(spark):
     assert row["byte_share"] > 0.5 and row["n_tokens"] > 2
 
 
+def test_short_texts_are_judged_too(spark):
+    words = "the people of town went to market and bought some bread for their whole family before a long warm summer evening began".split()
+    good = [(i, " ".join(words[(i * 7 + j * j + j // 19) % len(words)] for j in range(200)), "en") for i in range(40)]
+    short = [(100, " ".join(words[:12]), "en"), (101, " ".join(words) + " 🙂", "en")]
+    marked = [(200, " ".join(w + " |" for w in words), "en"), (201, " ".join("".join(f"{c}." for c in w) for w in words[:12]), "en")]
+    noise = [(300, " ".join(chr(0x1F700 + i) + chr(0x10A60 + i) for i in range(14)) + " a b c d", "en")]
+    # A group of short texts only has a band of its own, too.
+    own = [(400 + i, " ".join(words[(i + 3 * j) % len(words)] for j in range(15)), "xx") for i in range(40)]
+    odd = [(500, " ".join("".join(f"{c}." for c in w) for w in words[:12]), "xx")]
+    docs = spark.createDataFrame(good + short + marked + noise + own + odd, "doc_id long, text string, lang string")
+    rows = {r["doc_id"]: r for r in fertility.quality_rules(docs, PIECES).collect()}
+    assert all(rows[i]["n_tokens"] < 150 and not rows[i]["base_failed"] for i in (100, 101, 200, 201, 300, 400, 500))
+    assert all(r["kept"] for i, r in rows.items() if i in (100, 101) or i in range(400, 440))
+    assert [rows[i]["kept"] for i in (200, 201, 300, 500)] == [False] * 4
+
+
 # --- language ---------------------------------------------------------------
 
 def test_prediction_tables_equal_the_network():

@@ -5,7 +5,7 @@ character, hardly ever falls back to bytes and spreads over many tokens.  Each t
 measured by three numbers: characters per token, share of byte-fallback tokens, and entropy
 of its token distribution relative to the most its length allows.  Fixed outer limits per
 script and a band per language (script where none is given), taken from all documents, say
-what is kept; texts too short to measure keep the verdict of the base rules.
+what is kept; a short text's measures scatter, so its bounds are wider by the error of its length.
 """
 
 from __future__ import annotations
@@ -21,7 +21,8 @@ from tidepost.session import materialize
 
 # The base rules' own figures.
 MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 10, 5, 20
-# Texts of fewer tokens are not judged by fertility, and smaller groups have no bands of their own.
+# Bounds are wider for texts of fewer tokens, and bands come from longer ones where a group has enough; smaller groups have
+# no bands of their own.
 MIN_TOKENS, MIN_GROUP = 150, 30
 # Languages that get a band of their own, the most frequent first: a bound far above their number.
 MOST_GROUPS = 2_000
@@ -147,13 +148,19 @@ def measured(docs: DataFrame, vocabulary: str) -> DataFrame:
 
 
 def group_bands(measures: DataFrame) -> DataFrame:
-    """group, least, most: each group's own band of characters per token.
+    """group, middle, least, most: each group's own band of characters per token.
 
+    Texts shorter than MIN_TOKENS count only where a group has fewer than MIN_GROUP others.
     Quartiles come from counts by thousandths, so they do not depend on the order of rows,
     and a group of any size is a few thousand rows before its window.
     """
-    long_enough = measures.filter(F.col("quality.n_tokens") >= MIN_TOKENS)
-    counts = long_enough.groupBy("group", F.round("quality.chars_per_token", 3).alias("x")).agg(F.count(F.lit(1)).alias("n"))
+    is_long = F.col("quality.n_tokens") >= MIN_TOKENS
+    counts = measures.filter(is_long | (F.col("quality.n_words") >= MIN_WORDS)).groupBy(
+        "group", is_long.alias("is_long"), F.round("quality.chars_per_token", 3).alias("x")
+    ).agg(F.count(F.lit(1)).alias("n"))
+    long_rows = F.sum(F.when(F.col("is_long"), F.col("n")).otherwise(0)).over(Window.partitionBy("group"))
+    counts = counts.withColumn("long_rows", long_rows).filter(F.col("is_long") | (F.col("long_rows") < MIN_GROUP))
+    counts = counts.groupBy("group", "x").agg(F.sum("n").alias("n"))
     own = Window.partitionBy("group")
     counts = counts.withColumns({"upto": F.sum("n").over(own.orderBy("x")), "all": F.sum("n").over(own)})
     quartile = lambda share: F.min(F.when(F.col("upto") >= share * F.col("all"), F.col("x")))
@@ -162,7 +169,7 @@ def group_bands(measures: DataFrame) -> DataFrame:
     return (
         counts.groupBy("group").agg(quartile(0.25).alias("q1"), quartile(0.5).alias("q2"), quartile(0.75).alias("q3"), F.max("all").alias("rows"))
         .filter(F.col("rows") >= MIN_GROUP).orderBy(F.desc("rows"), "group").limit(MOST_GROUPS)
-        .select("group", (F.col("q2") - width(BELOW)).alias("least"), (F.col("q2") + width(ABOVE)).alias("most"))
+        .select("group", F.col("q2").alias("middle"), (F.col("q2") - width(BELOW)).alias("least"), (F.col("q2") + width(ABOVE)).alias("most"))
     )
 
 
@@ -172,12 +179,14 @@ def judged(measures: DataFrame, bands: dict[str, tuple[float, float, float, floa
     limit = lambda i: F.create_map(*[x for s, b in bands.items() for x in (F.lit(s), F.lit(float(b[i])))])[q["script"]]
     base = (q["n_words"] < MIN_WORDS) | (100 * q["n_repeat_words"] > MAX_REPEAT_PERCENT * q["n_words"])
     relative = q["token_entropy"] / F.log2(F.greatest(q["n_tokens"], F.lit(2)).cast("double"))
+    # The sampling error that a text has beyond that of one of MIN_TOKENS, which the bands hold already.
+    error = F.sqrt(F.greatest(F.lit(0.0), 1 / F.greatest(q["n_tokens"], F.lit(1)) - 1 / MIN_TOKENS))
+    slack = F.col("middle") * error
     reason = (
         F.when(base, "base")
-        .when(q["n_tokens"] < MIN_TOKENS, None)
-        .when(q["chars_per_token"] < F.greatest(limit(0), "least"), "many tokens per character")
-        .when(q["chars_per_token"] > F.least(limit(1), "most"), "few tokens per character")
-        .when(100 * q["byte_share"] > limit(2), "byte fallback")
+        .when(q["chars_per_token"] < F.greatest(limit(0), F.col("least") - slack), "many tokens per character")
+        .when(q["chars_per_token"] > F.least(limit(1), F.col("most") + slack), "few tokens per character")
+        .when(100 * q["byte_share"] > limit(2) + 100 * error, "byte fallback")
         .when(relative < limit(3), "low token entropy")
     )
     # At most MOST_GROUPS rows are sent; the documents stay where they are.
