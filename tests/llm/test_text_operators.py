@@ -95,6 +95,12 @@ def test_short_texts_are_judged_too(spark):
     assert [rows[i]["kept"] for i in (200, 201, 300, 500)] == [False] * 4
 
 
+def test_every_language_has_its_band(spark):
+    quality = F.struct(F.lit(200).alias("n_tokens"), F.lit(50).alias("n_words"), F.lit(4.0).alias("chars_per_token"))
+    measures = spark.range(2_100 * 30).select(quality.alias("quality"), (F.col("id") % 2_100).cast("string").alias("group"))
+    assert fertility.group_bands(measures).count() == 2_100
+
+
 # --- language ---------------------------------------------------------------
 
 def test_prediction_tables_equal_the_network():

@@ -24,8 +24,6 @@ MIN_WORDS, REPEAT_WINDOW, MAX_REPEAT_PERCENT = 10, 5, 20
 # Bounds are wider for texts of fewer tokens, and bands come from longer ones where a group has enough; smaller groups have
 # no bands of their own.
 MIN_TOKENS, MIN_GROUP = 150, 30
-# Languages that get a band of their own, the most frequent first: a bound far above their number.
-MOST_GROUPS = 2_000
 # A group's own band of characters per token, around its median: so many interquartile ranges
 # below and above, but never narrower than this share of the median.
 BELOW, ABOVE, NARROWEST = 3.0, 6.0, 0.06
@@ -168,7 +166,7 @@ def group_bands(measures: DataFrame) -> DataFrame:
     width = lambda times: F.greatest(times * spread, NARROWEST * F.col("q2"))
     return (
         counts.groupBy("group").agg(quartile(0.25).alias("q1"), quartile(0.5).alias("q2"), quartile(0.75).alias("q3"), F.max("all").alias("rows"))
-        .filter(F.col("rows") >= MIN_GROUP).orderBy(F.desc("rows"), "group").limit(MOST_GROUPS)
+        .filter(F.col("rows") >= MIN_GROUP)
         .select("group", F.col("q2").alias("middle"), (F.col("q2") - width(BELOW)).alias("least"), (F.col("q2") + width(ABOVE)).alias("most"))
     )
 
@@ -189,8 +187,8 @@ def judged(measures: DataFrame, bands: dict[str, tuple[float, float, float, floa
         .when(100 * q["byte_share"] > limit(2) + 100 * error, "byte fallback")
         .when(relative < limit(3), "low token entropy")
     )
-    # At most MOST_GROUPS rows are sent; the documents stay where they are.
-    return measures.join(F.broadcast(group_bands(measures)), "group", "left").withColumns({"base": base, "reason": reason})
+    # Stored bands have a known size: few are sent and the documents stay where they are, very many are joined by shuffle.
+    return measures.join(materialize(group_bands(measures), "group-bands"), "group", "left").withColumns({"base": base, "reason": reason})
 
 
 def quality_rules(docs: DataFrame, vocabulary: str, bands: dict[str, tuple[float, float, float, float]] = BANDS) -> DataFrame:
