@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidepost.llm import byte_bpe, fertility, language, packing, pii, secret_scan, simhash, token_files, topk, url_tree
+from tidepost.llm import byte_bpe, fertility, fim, language, packing, pii, secret_scan, simhash, token_files, topk, url_tree
 from tidepost.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +173,34 @@ def op2_personal_data(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_email", "n_ip", "n_card", "n_phone",
         F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"), pii.as_text(F.col("spans")).alias("spans"),
     )
+
+
+@query
+def op11_fim(spark: SparkSession, folder: str) -> DataFrame:
+    done = fim.fill_in_middle(table(spark, folder, "documents"))
+    return done.select(
+        "row.doc_id", "fim.n", "fim.form", "fim.prefix_chars", "fim.middle_chars",
+        F.sha2("fim.output", 256).alias("output_sha256"), F.sha2(fim.restore(F.col("fim.output"), F.col("fim.form")), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op11_fim"] = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+s AS (
+  SELECT doc_id, t, CAST(length(t) AS BIGINT) AS n,
+         ('0x' || substr(h, 1, 8))::UBIGINT AS h1, ('0x' || substr(h, 9, 8))::UBIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::UBIGINT AS h3, ('0x' || substr(h, 25, 8))::UBIGINT AS h4 FROM d),
+c AS (
+  SELECT *, CAST(least(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS lo, CAST(greatest(h1 % (n + 1), h2 % (n + 1)) AS BIGINT) AS hi,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM s),
+p AS (
+  SELECT *, substring(t, 1, lo) AS pre, substring(t, lo + 1, hi - lo) AS mid, substring(t, hi + 1) AS suf FROM c)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN lo END AS prefix_chars, CASE WHEN form <> 'plain' THEN hi - lo END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                        WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
