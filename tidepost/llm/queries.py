@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidepost.llm import byte_bpe, fertility, fim, language, licenses, packing, pii, secret_scan, simhash, token_files, topk, url_tree
+from tidepost.llm import alignment, byte_bpe, fertility, fim, language, licenses, packing, pii, secret_scan, simhash, token_files, topk, url_tree
 from tidepost.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,3 +210,10 @@ FROM p
 def op12_licenses(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.license_scan(table(spark, folder, "documents"))
     return found.select("row.doc_id", *licenses.as_columns(F.col("license")))
+
+
+@query
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokens(
+        table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    )
