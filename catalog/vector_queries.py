@@ -13,6 +13,7 @@ from tidepost.operators.clean import clean_corpus
 from tidepost.operators import (
     clusters as C, encoder as E, projection as P, similarity as S, tfidf as X, word_vectors as W,
 )
+from tidepost.operators import cbow as C
 from tidepost.operators.vector_sums import vector_sum
 from tidepost.session import materialize, scratch_path
 from tidepost.sinks.posts import write_stage_metadata
@@ -215,6 +216,15 @@ def word2vec_fit(spark, folder):
     return fitted.select("word", total(lambda x, i: (i + 1) * x).alias("weighted"), total(F.abs).alias("absolute"))
 
 
+@query("word2vec_cbow", f"""SELECT DISTINCT word, {C.VECTOR_SIZE} AS dims, true AS finite
+FROM (SELECT unnest({_TOKENS}) AS word FROM documents) WHERE word IS NOT NULL""")
+def word2vec_cbow(spark, folder):
+    """Trained CBOW vectors of every word of the documents; the facts: one vector per word, its size, all finite."""
+    fitted, _ = C.train_cbow(doc_tokens(spark, folder), "row_id", "tokens")
+    finite = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
+    return fitted.select("word", F.size("vector").alias("dims"), finite.alias("finite"))
+
+
 @query("keyword_vector_search", f"""WITH {WORDS_SQL},
 corpus AS (SELECT doc_id AS row_id, {', '.join(f'coalesce(round_even(m{i}, 6), 0.0) AS m{i}' for i in _DIMS)}
   FROM documents LEFT JOIN {_mean_sql('doc_words')} m ON row_id = doc_id),
