@@ -32,11 +32,13 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tidepost.llm.common import byte_characters, worker_memo
+from tidepost.llm.common import WordCache, byte_characters, worker_memo
 from tidepost.llm.word_ids import WordIds
 from tidepost.session import materialize
 
-MEASURES = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, occurrences array<long>"
+MEASURES = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, occurrences array<int>"
+# Texts aligned and handed back at a time, and words whose ids a worker keeps.
+ROWS, CACHED_WORDS = 256, 100_000
 _BYTE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 
 
@@ -47,6 +49,7 @@ class Aligner:
         import sentencepiece
 
         self.a = WordIds(vocabulary_a, byte_level=True)
+        self.a.cache = WordCache(self.a._encode_words, CACHED_WORDS)
         to_byte = {c: b for b, c in enumerate(byte_characters())}
         tokenizer = self.a.tokenizer
         bytes_a = [b""] * tokenizer.get_vocab_size(with_added_tokens=True)
@@ -104,7 +107,7 @@ class Aligner:
         codes.sort()
         first = np.flatnonzero(np.concatenate([[True], codes[1:] != codes[:-1]]))
         occurrences = np.diff(np.append(first, len(codes)))
-        return len(a), len(b), len(common), total, digest, codes[first], occurrences.astype(np.int64)
+        return len(a), len(b), len(common), total, digest, codes[first], occurrences.astype(np.int32)
 
     def run(self, texts: list[str]) -> list[tuple]:
         ids_a = self.a.encode(pa.array([" " + t for t in texts], pa.large_string()))
@@ -138,18 +141,19 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
-def measures(vocabulary_a: str, model_b: str):
+def measures(vocabulary_a: str, model_b: str, columns: list[str]):
+    """mapInPandas over (`columns`..., text): the columns and the measures of each text, in batches of ROWS texts."""
     names = [field.split()[0] for field in MEASURES.split(", ")]
 
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         aligner = worker_memo(("alignment", vocabulary_a, model_b), lambda: Aligner(vocabulary_a, model_b))
-        for texts in batches:
-            out = []
-            for at in range(0, len(texts), 256):
-                out.extend(aligner.run(texts.iloc[at : at + 256].tolist()))
-            yield pd.DataFrame(out, columns=names)
+        for batch in batches:
+            for at in range(0, len(batch), ROWS):
+                part = batch.iloc[at : at + ROWS]
+                found = pd.DataFrame(aligner.run(part["text"].tolist()), columns=names, index=part.index)
+                yield pd.concat([part[columns], found], axis=1)
 
-    return F.pandas_udf(run, MEASURES)
+    return run
 
 
 def size_b(model_b: str) -> int:
@@ -169,10 +173,9 @@ def align_tokens(docs: DataFrame, vocabulary_a: str, model_b: str, key: str = "d
     filled = (text.isNotNull()) & (text != "")
     # Each distinct text once, with the number of rows that hold it.
     distinct = docs.where(filled).groupBy("text").agg(F.count(F.lit(1)).alias("mult"))
+    keyed = distinct.select(F.unhex(F.sha2(text, 256)).alias("digest"), "mult", "text")
     aligned = materialize(
-        distinct.select(F.unhex(F.sha2(text, 256)).alias("digest"), "mult", measures(vocabulary_a, model_b)(text).alias("m"))
-        .select("digest", "mult", "m.*"),
-        "alignment",
+        keyed.mapInPandas(measures(vocabulary_a, model_b, ["digest", "mult"]), f"digest binary, mult long, {MEASURES}"), "alignment"
     )
     pairs = aligned.select("digest", "mult", F.inline(F.arrays_zip(F.col("pairs").alias("pair"), F.col("occurrences").alias("occ"))))
     counted = pairs.groupBy("pair").agg(F.sum("mult").alias("count"))
