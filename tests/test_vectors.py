@@ -268,3 +268,31 @@ def test_pca_matches_numpy(frame, sample):
         assert np.allclose(result.components[:, c], axis, atol=1e-6)
     got = {r.row_id: (r.pc1, r.pc2) for r in result.rows.collect()}
     assert np.allclose([got[i] for i in range(len(sample))], centered @ result.components)
+
+
+def test_families_at_once_reach_a_fixed_point(spark):
+    rng = np.random.default_rng(3)
+    rows = []
+    for f, (model, pooling) in enumerate([("a", "mean"), ("a", "cls"), ("b", "mean")]):
+        centers = rng.normal(size=(3, 4)) * 5
+        for i in range(60):
+            rows.append((model, pooling, i, (centers[i % 3] + rng.normal(size=4) * 0.3).tolist()))
+    rows.append(("b", "mean", 999, None))
+    df = spark.createDataFrame(rows, "model string, pooling string, row_id long, vector array<double>")
+    result = C.kmeans_families(df, "row_id", k=3, restarts=3)
+    assigned = {(r.model, r.pooling, r.row_id): r.cluster for r in result.assigned.collect()}
+    assert len(assigned) == 180
+    centroids = {(r.model, r.pooling, r.cluster): np.array(r.c) for r in result.centroids.collect()}
+    points = {(m, p, i): np.array(v) for m, p, i, v in rows if v is not None}
+    for (m, p, i), cluster in assigned.items():
+        distances = [((centroids[(m, p, c)] - points[(m, p, i)]) ** 2).sum() if (m, p, c) in centroids else np.inf for c in range(3)]
+        assert cluster == int(np.argmin(distances))
+    for (m, p, c), centre in centroids.items():
+        members = [points[key] for key, cl in assigned.items() if key[:2] == (m, p) and cl == c]
+        assert np.allclose(centre, np.mean(members, axis=0))
+    costs = result.costs.collect()
+    assert len(costs) == 9
+    for m, p in {(r.model, r.pooling) for r in costs}:
+        best = min(r.cost for r in costs if (r.model, r.pooling) == (m, p))
+        mine = sum(((centroids[(m, p, c)] - points[(m, p, i)]) ** 2).sum() for (mm, pp, i), c in assigned.items() if (mm, pp) == (m, p))
+        assert mine == pytest.approx(best)

@@ -14,13 +14,14 @@ from tidepost.checks import collect_bounded, require_columns
 from tidepost.functions import vectors as V
 from tidepost.functions.text import snippet
 from tidepost.operators.encoder import concat_results
+from tidepost.operators.vector_sums import vector_sum
 from tidepost.session import materialize
 
 # Settings of the clustering.
 CLUSTERS = 5
 RESTARTS = 10
 SEED = 42
-# Families and centroids are lists made by people; more are refused.
+# Families are lists made by people; more are refused where they are projected.  So are centroids.
 MAX_FAMILIES = 256
 MAX_CENTROIDS = 4096
 
@@ -62,17 +63,81 @@ def kmeans(df: DataFrame, key: str = "row_id", vector: str = "vector", k: int =
     return Clustering(best, costs, assigned)
 
 
+@dataclass(frozen=True)
+class FamilyClustering:
+    """Per family: the assignment of the cheapest restart, all restarts' costs, the final centroids."""
+
+    assigned: DataFrame
+    costs: DataFrame
+    centroids: DataFrame
+
+
+def _nearest(restarts: int) -> Column:
+    """Per restart, the nearest of the family's centroids to `_v`: ties go to the lower cluster."""
+    def best(r):
+        mine = F.filter("_cs", lambda c: c["restart"] == r)
+        near = F.array_min(F.transform(mine, lambda c: F.struct(
+            V.squared_distance(F.col("_v"), c["c"]).alias("d"), c["cluster"].alias("cluster"))))
+        return F.struct(r.alias("restart"), near["cluster"].alias("cluster"), near["d"].alias("d"))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(restarts - 1)), best)
+
+
+def kmeans_families(df: DataFrame, key: str, vector: str = "vector", k: int = 3, restarts: int = 1,
+                    seed: int = SEED, rounds: int = 50, tolerance: float = 1e-12) -> FamilyClustering:
+    """Lloyd's K-means for every (model, pooling) family and restart at once.
+
+    Seeding is by random partition: restart r puts each row in cluster hash(key, family, r, seed)
+    mod k, and the first centroids are those clusters' means.  A round joins each row with its
+    family's restarts x k centroids (one row per family, read at once), takes the nearest per
+    restart and forms the new centroids as grouped sums over (model, pooling, restart, cluster):
+    one job for all families, no loop over them.  A cluster left empty keeps its centroid.  The
+    rounds end when no centroid moves by more than `tolerance` (squared) or after `rounds`.
+    The cheapest restart of each family wins, ties to the lower restart.  Rows without vector are
+    left out.
+    """
+    require_columns(df, "model", "pooling", key, vector)
+    family = ["model", "pooling"]
+    rows = materialize(
+        df.where(F.col(vector).isNotNull()).select(*family, F.col(key).alias("_key"), V.as_double(F.col(vector)).alias("_v")),
+        "family-rows",
+    )
+    start = rows.select(*family, "_key", "_v", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("restart")).withColumn(
+        "cluster", F.pmod(F.xxhash64(F.col("_key"), *family, "restart", F.lit(seed)), F.lit(k)).cast("int")
+    )
+
+    def means(assigned: DataFrame) -> DataFrame:
+        summed = assigned.groupBy(*family, "restart", "cluster").agg(vector_sum(F.col("_v")).alias("_s"), F.count(F.lit(1)).alias("_n"))
+        return summed.select(*family, "restart", "cluster", F.transform("_s", lambda x: x / F.col("_n")).alias("c"))
+
+    def assign(centroids: DataFrame) -> DataFrame:
+        packed = centroids.groupBy(*family).agg(F.collect_list(F.struct("restart", "cluster", "c")).alias("_cs"))
+        near = rows.join(packed, family).select(*family, "_key", "_v", F.inline(_nearest(restarts)))
+        return near.where(F.col("cluster").isNotNull())
+
+    centroids = materialize(means(start), "centroids-0")
+    for round_ in range(1, rounds + 1):
+        moved = means(assign(centroids))
+        # An empty cluster keeps its centroid.
+        fresh = centroids.alias("o").join(moved.alias("n"), [*family, "restart", "cluster"], "left").select(
+            *family, "restart", "cluster", F.coalesce(F.col("n.c"), F.col("o.c")).alias("c"),
+            V.squared_distance(F.col("o.c"), F.coalesce(F.col("n.c"), F.col("o.c"))).alias("_shift"),
+        )
+        fresh = materialize(fresh, f"centroids-{round_}")
+        shift = fresh.agg(F.max("_shift")).first()[0]
+        centroids = fresh.drop("_shift")
+        if shift is None or shift <= tolerance:
+            break
+    final = materialize(assign(centroids), "family-assignments")
+    costs = materialize(final.groupBy(*family, "restart").agg(F.sum("d").alias("cost")), "family-costs")
+    chosen = costs.groupBy(*family).agg(F.min_by("restart", F.struct("cost", "restart")).alias("restart"))
+    assigned = final.join(chosen, [*family, "restart"]).select(*family, F.col("_key").alias(key), "cluster")
+    return FamilyClustering(assigned, costs, centroids.join(chosen, [*family, "restart"]).select(*family, "cluster", "c"))
+
+
 def cluster_families(df: DataFrame, key: str, k: int = 3, restarts: int = 1, seed: int = SEED) -> DataFrame:
-    """(model, pooling, key, cluster): one clustering per embedding family."""
-    require_columns(df, "model", "pooling", key, "vector")
-    families = collect_bounded(df.select("model", "pooling").distinct(), MAX_FAMILIES, "families")
-    parts = []
-    for model, pooling in sorted(map(tuple, families)):
-        family = df.filter((F.col("model") == model) & (F.col("pooling") == pooling))
-        parts.append(kmeans(family, key, "vector", k, restarts, seed).assigned.select(
-            F.lit(model).alias("model"), F.lit(pooling).alias("pooling"), key, "cluster"
-        ))
-    return concat_results(parts)
+    """(model, pooling, key, cluster): one clustering per embedding family, all families at once."""
+    return kmeans_families(df, key, "vector", k, restarts, seed).assigned
 
 
 def centroid_array(centroids: DataFrame) -> Column:
