@@ -296,3 +296,31 @@ def test_families_at_once_reach_a_fixed_point(spark):
         best = min(r.cost for r in costs if (r.model, r.pooling) == (m, p))
         mine = sum(((centroids[(m, p, c)] - points[(m, p, i)]) ** 2).sum() for (mm, pp, i), c in assigned.items() if (mm, pp) == (m, p))
         assert mine == pytest.approx(best)
+
+
+def test_projections_of_all_families_match_numpy(spark):
+    rng = np.random.default_rng(5)
+    rows, data = [], {}
+    for model, pooling, scale in [("a", "mean", 1.0), ("a", "cls", 3.0), ("b", "mean", 0.5)]:
+        points = rng.normal(size=(40, 5)) * np.array([5, 3, 1, 0.5, 0.1]) * scale
+        data[(model, pooling)] = points
+        rows += [(model, pooling, i, p.tolist()) for i, p in enumerate(points)]
+    rows.append(("b", "mean", 99, None))
+    df = spark.createDataFrame(rows, "model string, pooling string, row_id long, vector array<double>")
+    found = P.project_families(df, "row_id", k=2)
+    got = {(r.model, r.pooling, r.row_id): (r.pc1, r.pc2) for r in found.rows.collect()}
+    assert len(got) == 120
+    ratios = {(r.model, r.pooling, r.component): r.ratio for r in found.ratios.collect()}
+    for (model, pooling), points in data.items():
+        centered = points - points.mean(axis=0)
+        values, vectors = np.linalg.eigh(centered.T @ centered)
+        order = np.argsort(values)[::-1][:2]
+        comps = vectors[:, order]
+        comps = comps * np.where(comps[np.abs(comps).argmax(axis=0), range(2)] < 0, -1.0, 1.0)
+        want = centered @ comps
+        for i in range(40):
+            assert np.allclose(got[(model, pooling, i)], want[i], atol=1e-8)
+        assert ratios[(model, pooling, 1)] == pytest.approx(values[order[0]] / values.sum())
+        # Projections are centered and uncorrelated.
+        pcs = np.array([got[(model, pooling, i)] for i in range(40)])
+        assert abs(pcs.mean(axis=0)).max() < 1e-9 and abs(np.corrcoef(pcs.T)[0, 1]) < 1e-8

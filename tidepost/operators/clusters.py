@@ -10,7 +10,7 @@ from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tidepost.checks import collect_bounded, require_columns
+from tidepost.checks import require_columns
 from tidepost.functions import vectors as V
 from tidepost.functions.text import snippet
 from tidepost.operators.encoder import concat_results
@@ -21,8 +21,7 @@ from tidepost.session import materialize
 CLUSTERS = 5
 RESTARTS = 10
 SEED = 42
-# Families are lists made by people; more are refused where they are projected.  So are centroids.
-MAX_FAMILIES = 256
+# Centroids are lists made by people; more are refused.
 MAX_CENTROIDS = 4096
 
 
