@@ -13,7 +13,7 @@ from tidepost.operators.clean import clean_corpus
 from tidepost.operators import (
     clusters as C, encoder as E, projection as P, similarity as S, tfidf as X, word_vectors as W,
 )
-from tidepost.operators import cbow as C
+from tidepost.operators import cbow as CB
 from tidepost.operators.vector_sums import vector_sum
 from tidepost.session import materialize, scratch_path
 from tidepost.sinks.posts import write_stage_metadata
@@ -216,11 +216,11 @@ def word2vec_fit(spark, folder):
     return fitted.select("word", total(lambda x, i: (i + 1) * x).alias("weighted"), total(F.abs).alias("absolute"))
 
 
-@query("word2vec_cbow", f"""SELECT DISTINCT word, {C.VECTOR_SIZE} AS dims, true AS finite
+@query("word2vec_cbow", f"""SELECT DISTINCT word, {CB.VECTOR_SIZE} AS dims, true AS finite
 FROM (SELECT unnest({_TOKENS}) AS word FROM documents) WHERE word IS NOT NULL""")
 def word2vec_cbow(spark, folder):
     """Trained CBOW vectors of every word of the documents; the facts: one vector per word, its size, all finite."""
-    fitted, _ = C.train_cbow(doc_tokens(spark, folder), "row_id", "tokens")
+    fitted, _ = CB.train_cbow(doc_tokens(spark, folder), "row_id", "tokens")
     finite = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < float("inf")))
     return fitted.select("word", F.size("vector").alias("dims"), finite.alias("finite"))
 
@@ -585,7 +585,25 @@ def attach_clusters(spark, folder):
         "doc_id", F.col("lang").alias("model"), F.col("source").alias("pooling"), F.col("text").alias("sentence")
     )
     assigned = d.join(table(spark, folder, "labels"), "doc_id").withColumn("cluster", F.col("quality") + 2 * F.col("toxic"))
-    return C.attach_clusters(d, assigned, ["model", "pooling", "sentence"]).select("doc_id", "model", "pooling", "cluster")
+    attached = C.attach_cluster_counts(d, assigned, ["model", "pooling", "sentence"])
+    return C.expand_clusters(attached).select("doc_id", "model", "pooling", "cluster")
+
+
+@query("attach_cluster_counts", f"""WITH sentences AS ({_ATTACH_SQL}),
+assigned AS (SELECT model, pooling, sentence, quality + 2 * toxic AS cluster FROM sentences JOIN labels USING (doc_id))
+SELECT doc_id, model, pooling, count(a.cluster) AS matches, count(DISTINCT a.cluster) AS clusters
+FROM sentences s LEFT JOIN assigned a USING (model, pooling, sentence) GROUP BY doc_id, model, pooling""")
+def attach_cluster_counts(spark, folder):
+    """One row per document with how many labelled copies of its sentence match, and in how many clusters."""
+    d = table(spark, folder, "documents").select(
+        "doc_id", F.col("lang").alias("model"), F.col("source").alias("pooling"), F.col("text").alias("sentence")
+    )
+    assigned = d.join(table(spark, folder, "labels"), "doc_id").withColumn("cluster", F.col("quality") + 2 * F.col("toxic"))
+    attached = C.attach_cluster_counts(d, assigned, ["model", "pooling", "sentence"])
+    return attached.select(
+        "doc_id", "model", "pooling", F.aggregate("clusters", F.lit(0).cast("long"), lambda a, m: a + m["copies"]).alias("matches"),
+        F.size("clusters").cast("long").alias("clusters"),
+    )
 
 
 # --- projections -----------------------------------------------------------

@@ -324,3 +324,17 @@ def test_projections_of_all_families_match_numpy(spark):
         # Projections are centered and uncorrelated.
         pcs = np.array([got[(model, pooling, i)] for i in range(40)])
         assert abs(pcs.mean(axis=0)).max() < 1e-9 and abs(np.corrcoef(pcs.T)[0, 1]) < 1e-8
+
+
+def test_cluster_counts_instead_of_multiplied_rows(spark):
+    df = spark.createDataFrame([(i, "m", "same" if i < 50 else f"s{i}") for i in range(60)] + [(99, None, "same")], "doc_id int, model string, sentence string")
+    clusters = spark.createDataFrame([("m", "same", i % 3) for i in range(50)] + [("m", "s55", 7)], "model string, sentence string, cluster int")
+    attached = C.attach_cluster_counts(df, clusters, ["model", "sentence"])
+    assert attached.count() == 61
+    row = attached.where("doc_id = 0").first()
+    assert [(c.cluster, c.copies) for c in row.clusters] == [(0, 17), (1, 17), (2, 16)]
+    assert attached.where("doc_id = 99").first().clusters == []
+    plain = C.attach_clusters(df, clusters, ["model", "sentence"])
+    expanded = C.expand_clusters(attached)
+    key = lambda r: (r.doc_id, r.cluster if r.cluster is not None else -1)
+    assert sorted(map(key, expanded.collect())) == sorted(map(key, plain.collect()))

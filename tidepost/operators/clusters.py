@@ -194,3 +194,36 @@ def attach_clusters(df: DataFrame, clusters: DataFrame, on: list[str]) -> DataFr
     require_columns(df, *on)
     require_columns(clusters, *on, "cluster")
     return df.join(clusters.select(*on, "cluster"), on, "left")
+
+
+def attach_cluster_counts(df: DataFrame, clusters: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of `df`, each once, with `clusters`: array<struct<cluster, copies>> of the matching rows of `clusters`.
+
+    The matches of a class are counted before the join, keyed by the digest of `on`, so m equal
+    rows on both sides give m rows and a count of m, not m x m rows.  A row with a null in `on`
+    matches nothing (as in an equi-join) and gets an empty array.  `expand_clusters` gives the
+    rows of the plain left join.
+    """
+    require_columns(df, *on)
+    require_columns(clusters, *on, "cluster")
+    def digest(frame: DataFrame) -> Column:
+        known = F.lit(True)
+        for c in on:
+            known = known & F.col(c).isNotNull()
+        return F.when(known, F.sha2(F.to_json(F.struct(*[F.col(c) for c in on])), 256))
+
+    counted = clusters.select(digest(clusters).alias("_class"), "cluster").where(F.col("_class").isNotNull()).groupBy(
+        "_class", "cluster"
+    ).agg(F.count(F.lit(1)).alias("copies"))
+    per_class = counted.groupBy("_class").agg(F.sort_array(F.collect_list(F.struct("cluster", "copies"))).alias("clusters"))
+    empty = F.array().cast("array<struct<cluster:" + clusters.schema["cluster"].dataType.simpleString() + ",copies:bigint>>")
+    return df.withColumn("_class", digest(df)).join(per_class, "_class", "left").select(
+        *[F.col(f"`{c}`") for c in df.columns], F.coalesce(F.col("clusters"), empty).alias("clusters")
+    )
+
+
+def expand_clusters(attached: DataFrame) -> DataFrame:
+    """The rows of the left join that `attach_cluster_counts` stands for: each match `copies` times, null where none."""
+    others = [F.col(f"`{c}`") for c in attached.columns if c != "clusters"]
+    copies = F.transform("clusters", lambda m: F.array_repeat(m["cluster"], m["copies"].cast("int")))
+    return attached.select(*others, F.explode_outer(F.flatten(copies)).alias("cluster"))
