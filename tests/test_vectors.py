@@ -243,9 +243,13 @@ def test_nearest_centroid(spark, frame, sample, monkeypatch):
     for row in C.assign_nearest_centroid(frame, table).collect():
         distances = [((np.array(c) - sample[row.row_id]) ** 2).sum() for _, c in centers]
         assert row.cluster == int(np.argmin(distances)) and row.squared_distance == pytest.approx(min(distances))
-    monkeypatch.setattr(C, "MAX_CENTROIDS", 1)
-    with pytest.raises(Exception, match="too many centroids"):
-        C.assign_nearest_centroid(frame, table).collect()
+    # Many centroids in blocks of one: the same nearest ones.
+    monkeypatch.setattr(C, "CENTROID_BLOCK", 1)
+    many = [(c, sample[c].tolist()) for c in range(len(sample))]
+    table = spark.createDataFrame(many, "cluster int, vector array<double>")
+    for row in C.assign_nearest_centroid(frame, table).collect():
+        distances = [((np.array(c) - sample[row.row_id]) ** 2).sum() for _, c in many]
+        assert row.cluster == int(np.argmin(distances)) and row.squared_distance == pytest.approx(min(distances))
 
 
 def test_cluster_summary_limits_before_the_shuffle(spark):

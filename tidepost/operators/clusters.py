@@ -21,8 +21,8 @@ from tidepost.session import materialize
 CLUSTERS = 5
 RESTARTS = 10
 SEED = 42
-# Centroids are lists made by people; more are refused.
-MAX_CENTROIDS = 4096
+# Centroids met by a row at a time.
+CENTROID_BLOCK = 1024
 
 
 @dataclass(frozen=True)
@@ -139,34 +139,35 @@ def cluster_families(df: DataFrame, key: str, k: int = 3, restarts: int = 1, see
     return kmeans_families(df, key, "vector", k, restarts, seed).assigned
 
 
-def centroid_array(centroids: DataFrame) -> Column:
-    """The (cluster, vector) table as one array; refused if it has too many rows."""
-    require_columns(centroids, "cluster", "vector")
-    # One row more than allowed is enough to notice.
-    gathered = centroids.limit(MAX_CENTROIDS + 1).agg(
-        F.collect_list(F.struct("cluster", V.as_double(F.col("vector")).alias("vector"))).alias("all")
-    )
-    checked = gathered.select(
-        F.when(F.size("all") <= MAX_CENTROIDS, F.col("all")).otherwise(
-            F.raise_error(F.lit("too many centroids")).cast(gathered.schema["all"].dataType)
-        ).alias("all")
-    )
-    return checked.scalar()
-
-
 def assign_nearest_centroid(df: DataFrame, centroids: DataFrame, key: str = "row_id",
                             vector: str = "vector") -> DataFrame:
-    """(key, cluster, squared_distance) of the nearest centroid; ties go to the lower cluster."""
+    """(key, cluster, squared_distance) of the nearest centroid; ties go to the lower cluster.
+
+    Centroids are dealt by hash to blocks of about CENTROID_BLOCK; every row meets every block
+    (an equi-join on the block number), keeps the nearest of each block, and the nearest of
+    those wins (a grouped minimum by the row).  No limit on the number of centroids.
+    """
     require_columns(df, key, vector)
-    rows = df.select(key, V.as_double(F.col(vector)).alias("_v")).withColumn(
-        "_centroids", centroid_array(centroids)
+    require_columns(centroids, "cluster", "vector")
+    count = centroids.agg(F.count(F.lit(1))).first()[0]
+    blocks = max(1, -(-count // CENTROID_BLOCK))
+    packed = materialize(
+        centroids.select(F.pmod(F.xxhash64("cluster"), F.lit(blocks)).cast("int").alias("_block"),
+                         F.struct("cluster", V.as_double(F.col("vector")).alias("vector")).alias("_c"))
+        .groupBy("_block").agg(F.collect_list("_c").alias("_centroids")),
+        "centroid-blocks",
+    )
+    rows = materialize(
+        df.select(F.monotonically_increasing_id().alias("_row"), key, V.as_double(F.col(vector)).alias("_v")), "centroid-rows"
     )
+    dealt = rows.select("_row", "_v", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
     nearest = F.array_min(F.transform(
         "_centroids",
         lambda c: F.struct(V.squared_distance(F.col("_v"), c["vector"]).alias("d"), c["cluster"].alias("c")),
     ))
-    return rows.withColumn("_nearest", nearest).select(
-        key, F.col("_nearest.c").alias("cluster"), F.col("_nearest.d").alias("squared_distance")
+    best = dealt.join(packed, "_block").select("_row", nearest.alias("_n")).groupBy("_row").agg(F.min("_n").alias("_n"))
+    return rows.join(best, "_row", "left").select(
+        key, F.col("_n.c").alias("cluster"), F.col("_n.d").alias("squared_distance")
     )
 
 
