@@ -136,7 +136,7 @@ def test_compare_embeddings(spark, frame, sample):
     assert S.compare_embeddings(frame, right, sample_size=10).first().rows == 10
 
 
-def test_search_and_samples(spark, frame, sample):
+def test_search_and_samples(spark, frame, sample, monkeypatch):
     query = spark.createDataFrame([(sample[3].tolist(),)], "vector array<double>")
     hits = S.semantic_search(frame, query, k=3).collect()
     assert hits[0].row_id == 3 and hits[0].similarity == pytest.approx(1.0)
@@ -145,8 +145,13 @@ def test_search_and_samples(spark, frame, sample):
     assert first == [r.row_id for r in S.random_sample(frame.repartition(7), "row_id", 8).collect()]
     cells = S.similarity_sample_matrix(frame, size=5)
     assert cells.count() == 25 and S.lower_triangle(cells).count() == 15
-    with pytest.raises(ValueError):
-        S.similarity_sample_matrix(frame, size=10**6)
+    # A sample of all rows in blocks of two: every cell once, the cosine of its two rows.
+    monkeypatch.setattr(S, "SAMPLE_BLOCK", 2)
+    whole = {(r.i, r.j): r.similarity for r in S.similarity_sample_matrix(frame, size=10**6).collect()}
+    n = len(sample)
+    assert len(whole) == n * n
+    unit = {i: v / np.linalg.norm(v) for i, v in enumerate(sample) if np.linalg.norm(v) > 0}
+    assert all(abs(whole[(i, j)] - unit[i] @ unit[j]) < 1e-9 for i in unit for j in unit)
 
 
 def test_search_has_no_join(frame):

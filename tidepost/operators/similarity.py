@@ -27,8 +27,8 @@ BLOCK_ROWS = 4096
 STRIP_ROWS = 256
 # Bins of one counting pass when locating the median.
 MEDIAN_BINS = 65536
-# A sampled matrix is a figure for people; larger samples are refused.
-MAX_SAMPLE = 1000
+# Sampled rows that one task opens at a time, twice.
+SAMPLE_BLOCK = 512
 
 
 # --- rows ----------------------------------------------------------------
@@ -390,13 +390,20 @@ def similarity_histogram(df: DataFrame, key: str = "row_id", vector: str = "vect
 
 def similarity_sample_matrix(df: DataFrame, key: str = "row_id", vector: str = "vector",
                              size: int = 20, seed: int = 42) -> DataFrame:
-    """(i, j, similarity) for all cells of a small random sample of the rows."""
-    if size > MAX_SAMPLE:
-        raise ValueError(f"a sampled matrix has at most {MAX_SAMPLE} rows")
+    """(i, j, similarity) for all cells of a random sample of `size` rows.
+
+    The sample is dealt by hash to blocks of about SAMPLE_BLOCK rows; every pair of blocks is
+    one task (an equi-join on the partner block's number), which opens both and yields its cells.
+    The matrix has size x size cells by nature; no task holds more than two blocks.
+    """
     sample = unit_vectors(random_sample(df.select(key, vector), key, size, seed), vector)
-    # One array of at most `size` entries, opened twice.
-    gathered = sample.agg(F.sort_array(F.collect_list(F.struct(F.col(key).alias("key"), "unit"))).alias("all"))
-    cells = gathered.select("all", F.explode("all").alias("a")).select("a", F.explode("all").alias("b"))
+    blocks = max(1, -(-size // SAMPLE_BLOCK))
+    packed = sample.groupBy(F.pmod(F.xxhash64(F.col(key)), F.lit(blocks)).alias("_block")).agg(
+        F.collect_list(F.struct(F.col(key).alias("key"), "unit")).alias("_rows")
+    )
+    left = packed.select(F.col("_rows").alias("_a"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_partner"))
+    right = packed.select(F.col("_block").alias("_partner"), F.col("_rows").alias("_b"))
+    cells = left.join(right, "_partner").select(F.explode("_a").alias("a"), "_b").select("a", F.explode("_b").alias("b"))
     return cells.select(
         F.col("a.key").alias("i"), F.col("b.key").alias("j"),
         V.dot(F.col("a.unit"), F.col("b.unit")).alias("similarity"),
