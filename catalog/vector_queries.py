@@ -92,7 +92,9 @@ SELECT lang, CAST(rank AS INTEGER) AS rank, term, weight FROM (
   SELECT *, row_number() OVER (PARTITION BY lang ORDER BY weight DESC, term) AS rank FROM sums) WHERE rank <= 10""")
 def top_terms_per_language(spark, folder):
     d = table(spark, folder, "documents").select("lang", "text")
-    weights = X.tfidf(d, "text").select("lang", F.explode("tfidf").alias("term", "weight"))
+    # explode_outer: an inner explode makes the optimizer infer a filter on the map's size below the
+    # projections, which evaluates the whole TF-IDF expression a second time; rows without terms leave here.
+    weights = X.tfidf(d, "text").select("lang", F.explode_outer("tfidf").alias("term", "weight")).where(F.col("term").isNotNull())
     sums = weights.groupBy("lang", "term").agg(
         F.round(F.sum("weight"), 6).alias("weight")
     )
