@@ -554,13 +554,14 @@ def assign_nearest_centroid(spark, folder):
 
 
 def labelled(spark, folder):
-    """Documents with the label of the vector of the same number as their cluster."""
+    """Every document, with the label of the vector of the same number as its cluster; -1 where there is none."""
     v = vectors(spark, folder).select("row_id", F.col("label").alias("cluster"))
     d = table(spark, folder, "documents").select(F.col("doc_id").alias("row_id"), "text")
-    return d.join(v, "row_id")
+    return d.join(v, "row_id", "left").select("row_id", "text", F.coalesce("cluster", F.lit(-1)).alias("cluster"))
 
 
-LABELLED_SQL = "labelled AS (SELECT doc_id AS row_id, text, label AS cluster FROM documents JOIN embeddings ON vec_id = doc_id)"
+LABELLED_SQL = """labelled AS (SELECT doc_id AS row_id, text, coalesce(label, -1) AS cluster
+  FROM documents LEFT JOIN embeddings ON vec_id = doc_id)"""
 
 
 @query("cluster_summary", f"""WITH {LABELLED_SQL}
