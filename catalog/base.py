@@ -26,6 +26,11 @@ def query(key: str, sql: str | None = None):
     return register
 
 
+def cores(spark: SparkSession) -> int:
+    """The tasks the catalog deals costly per-row work over: the cluster's default parallelism."""
+    return spark.sparkContext.defaultParallelism
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog import sqltext as Q
-from catalog.base import POSTS_SQL, posts, query, table
+from catalog.base import POSTS_SQL, cores, posts, query, table
 from tidepost import schemas
 from tidepost.functions import text as T, vectors as V
 from tidepost.functions import stem as S
@@ -237,7 +237,7 @@ clean AS (SELECT row_id, tokens, content, coalesce(stemmed, '') AS stemmed FROM
 SELECT row_id, array_to_string(tokens, ' ') AS tokens, array_to_string(content, ' ') AS content_tokens,
        stemmed AS stemmed_text FROM clean""")
 def clean(spark, folder):
-    cleaned = clean_corpus(posts(spark, folder).select("row_id", "text"), stop_words=Q.STOP_WORDS)
+    cleaned = clean_corpus(posts(spark, folder).select("row_id", "text"), stop_words=Q.STOP_WORDS, partitions=cores(spark))
     return cleaned.select(
         "row_id", F.array_join("tokens", " ").alias("tokens"),
         F.array_join("content_tokens", " ").alias("content_tokens"), "stemmed_text",

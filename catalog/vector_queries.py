@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Window, functions as F
 
 from catalog import sqltext as Q
-from catalog.base import POSTS_SQL, VECTORS_SQL, posts, query, rounded, table, vectors
+from catalog.base import POSTS_SQL, VECTORS_SQL, cores, posts, query, rounded, table, vectors
 from catalog.text_queries import CLEAN_CTES, ENCODER_INPUT_SQL, TAGS_SQL
 from tidepost.functions import text as T, vectors as V
 from tidepost.operators.clean import clean_corpus
@@ -75,7 +75,7 @@ normalized AS (SELECT row_id, {Q.normalize('stemmed')} AS text FROM clean), {_we
 SELECT row_id, text AS normalized_text, coalesce(terms, 0) AS terms, coalesce(total, 0.0) AS total FROM normalized
 LEFT JOIN (SELECT row_id, count(*) AS terms, round(sum(weight), 6) AS total FROM weights GROUP BY 1) USING (row_id)""")
 def normalize_corpus(spark, folder):
-    cleaned = clean_corpus(posts(spark, folder).select("row_id", "text"), stop_words=Q.STOP_WORDS)
+    cleaned = clean_corpus(posts(spark, folder).select("row_id", "text"), stop_words=Q.STOP_WORDS, partitions=cores(spark))
     # Stored like the first stage: the second reads its stems more than once.
     cleaned = materialize(cleaned.select("row_id", "stemmed_text"), "stems")
     done = X.normalize_corpus(cleaned)
@@ -288,7 +288,7 @@ SELECT row_id, dim, round_even(value, 6) AS value FROM encoded""")
 def encode_documents(spark, folder):
     p = posts(spark, folder)
     inputs = p.select("row_id", T.encoder_input(T.normalize_text(F.col("text")), F.col("hashtags")).alias("encoder_input"))
-    return sparse(E.encode_documents(inputs, E.hashed_encoder()), "row_id", vector="encoder_vector")
+    return sparse(E.encode_documents(inputs, E.hashed_encoder(), partitions=cores(spark)), "row_id", vector="encoder_vector")
 
 
 @query("text_search", f"""WITH {encoded_sql('documents', 'doc_id', 'd')},
