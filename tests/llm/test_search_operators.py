@@ -217,3 +217,13 @@ def test_pipeline_of_awkward_rows(spark, awkward, no_rows):
 def test_run_applies_all_stages(spark, tables):
     rows = corpus_pipeline.run(spark, tables).collect()
     assert rows and {"doc_id", "sequence_id", "offset", "length"} <= set(rows[0].asDict())
+
+
+def test_simhash_refuses_buckets_that_cannot_split(spark):
+    import pytest as _pytest
+
+    from tidepost.llm import simhash
+
+    fps = spark.createDataFrame([(1,)], "fingerprint long")
+    with _pytest.raises(ValueError, match="bucket_rows"):
+        simhash.similar_fingerprints(fps, distance=2, bucket_rows=3)

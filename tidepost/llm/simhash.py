@@ -219,8 +219,12 @@ def similar_fingerprints(fps: DataFrame, distance: int, bucket_rows: int = BUCKE
 
     Bucket sizes are counted before any bucket is gathered.  Buckets of one row are left,
     those of up to `bucket_rows` are compared whole, larger ones split: their free bits
-    fall in distance + 1 parts, one of which must agree.
+    fall in distance + 1 parts, one of which must agree.  A bucket whose mask leaves at most
+    `distance` free bits holds at most 2 ** distance distinct fingerprints, and splitting it would
+    give the same mask again; so `bucket_rows` below 2 ** distance is refused.
     """
+    if bucket_rows < 2**distance:
+        raise ValueError(f"bucket_rows must be at least 2 ** distance = {2**distance}")
     masks = plan_masks(fps, distance)
     keyed = fps.select("fingerprint", F.explode(F.array(*[F.lit(_signed(m)) for m in masks])).alias("mask"))
     found = []
