@@ -327,3 +327,14 @@ def test_personal_data_query(spark, tables):
 def test_personal_data_of_awkward_rows(spark, awkward):
     rows = pii.find_personal_data(awkward).select("doc_id", F.sha2(pii.as_text(F.col("base")), 256).alias("base_sha256"))
     check_private(rows.collect(), rows_of(awkward))
+
+
+def test_language_sample_gives_rare_languages_their_turn(spark):
+    rows = [(i, "english words and more english words " * 10, "en") for i in range(3000)]
+    rows += [(10_000 + i, "deutsche wörter und noch mehr wörter " * 10, "de") for i in range(3000)]
+    rows += [(20_000 + i, "harvinaisia sanoja ja vielä lisää sanoja " * 10, "fi") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    sample = language.training_sample(docs, windows=120)
+    counts = Counter(lang for lang, _ in sample)
+    assert len(sample) <= 120 and counts["fi"] >= 3
+    assert abs(counts["en"] - counts["de"]) <= 20

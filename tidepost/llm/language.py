@@ -33,25 +33,38 @@ def in_training(doc_id: Column) -> Column:
 
 
 def training_sample(docs: DataFrame, windows: int = TRAINING_WINDOWS) -> list[tuple[str, str]]:
-    """(lang, window) of at most `windows` windows of labelled training rows, the first by a hash of their ids.
+    """(lang, window) of at most `windows` windows of labelled training rows, chosen by a hash of their ids.
 
-    Every row gives one window before any gives a second.  Spark cuts the windows, at
-    places given by the hash, and sends only those.
+    Stratified by language: each language is meant an equal turn of the windows; one with fewer
+    rows gives all it has and the others fill the rest.  Every row of a language gives one
+    window before any gives a second.  Spark cuts the windows, at places given by the hash,
+    and sends only those.
     """
     candidates = docs.filter(F.col("lang").isNotNull() & in_training(F.col("doc_id")))
-    # A first cut by the same hash leaves about twice the windows wanted, however large the table:
-    # tasks send no more than that to the driver.
-    rows = max(1, candidates.count())
-    share, turns = min(1.0, 2.0 * windows / rows), min(WINDOWS_PER_ROW, -(-2 * windows // rows))
-    turn = F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("turn")
-    labelled = candidates.filter(F.col("text").isNotNull()).select(F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id", turn)
+    # Rows per language; a first cut by the same hash leaves about twice each language's turn,
+    # however large the table: tasks send no more than that to the driver.
+    per_lang = candidates.groupBy(F.col("lang").cast("string").alias("lang")).agg(F.count(F.lit(1)).alias("_rows"))
+    languages = max(1, per_lang.count())
+    turn_each = -(-windows // languages)
+    shares = per_lang.select(
+        "lang", F.least(F.lit(1.0), 2.0 * turn_each / F.col("_rows")).alias("_share"),
+        F.least(F.lit(WINDOWS_PER_ROW), F.ceil(2.0 * turn_each / F.col("_rows"))).cast("int").alias("_turns"),
+        F.least(F.col("_rows"), F.lit(2 * turn_each)).alias("_per_turn"),
+    )
+    labelled = candidates.filter(F.col("text").isNotNull()).select(
+        F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), "doc_id"
+    ).join(shares, "lang")
+    spread = labelled.select("*", F.explode(F.sequence(F.lit(0), F.col("_turns") - 1)).alias("turn"))
     place = F.xxhash64("doc_id", "turn")
-    early = F.shiftrightunsigned(place, 1) < F.lit(share * 2.0**63)
+    early = F.shiftrightunsigned(place, 1) < F.col("_share") * F.lit(2.0**63)
     start = F.pmod(F.shiftright(place, 7), F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1) + 1
-    cut = labelled.filter(early).select(
-        "lang", F.col("text").substr(start.cast("int"), F.lit(WINDOW)).alias("window"), "turn", F.shiftrightunsigned(place, 1).alias("place")
+    cut = spread.filter(early).select(
+        "lang", F.col("text").substr(start.cast("int"), F.lit(WINDOW)).alias("window"), "turn",
+        # A window's place among its language's windows, in units of a language's turn: every
+        # language gives its turn before any gives more, and each row one window before a second.
+        ((F.col("turn") + F.shiftrightunsigned(place, 1) / F.lit(2.0**63) / F.col("_share")) * F.col("_per_turn") / F.lit(turn_each)).alias("key"),
     )
-    chosen = cut.orderBy("turn", "place", "lang", "window").limit(windows)
+    chosen = cut.orderBy("key", "lang", "window").limit(windows)
     return [(r["lang"], r["window"]) for r in chosen.collect() if _LETTER(r["window"])]
 
 
