@@ -347,3 +347,28 @@ def test_cluster_counts_instead_of_multiplied_rows(spark):
     expanded = C.expand_clusters(attached)
     key = lambda r: (r.doc_id, r.cluster if r.cluster is not None else -1)
     assert sorted(map(key, expanded.collect())) == sorted(map(key, plain.collect()))
+
+
+def test_word_vectors_meet_pairs_once_and_split_hot_words(spark, monkeypatch):
+    texts = ["o gato dorme na casa", "a casa azul do gato", "gato e casa na casa", "sol"] * 6
+    df = spark.createDataFrame([(i // 2, t.split()) for i, t in enumerate(texts)], "row_id int, tokens array<string>")
+    fit = lambda: {r.word: r.vector for r in W.fit_word_vectors(df, "tokens", 8).collect()}
+    whole = fit()
+    # Tiny blocks and parts: every word's contexts lie in several of them.
+    monkeypatch.setattr(W, "BLOCK_PLACES", 10)
+    monkeypatch.setattr(W, "PART_PAIRS", 3)
+    cut = fit()
+    assert set(cut) == set(whole) and all(np.allclose(whole[w], cut[w]) for w in whole)
+    words = spark.createDataFrame(list(whole.items()), "word string, vector array<double>")
+    got = {r.row_id: r.vector for r in W.mean_word_vector(df, words, "tokens", vector_size=8).collect()}
+    for i in got:
+        known = [whole[w] for t in texts[2 * i:2 * i + 2] for w in t.split()]
+        assert np.allclose(got[i], np.mean(known, axis=0), atol=1e-6)
+
+
+def test_vectors_do_not_travel_per_token(spark):
+    # A shuffle of single tokens with their vectors would appear as an explode above the join with the vectors.
+    words = spark.createDataFrame([("a", [1.0])], "word string, vector array<double>")
+    df = spark.createDataFrame([(1, ["a", "a"])], "row_id int, w2v_tokens array<string>")
+    plan = W.mean_word_vector(df, words, vector_size=1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "row_id" not in plan.split("Generate explode")[-1]
