@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pandas as pd
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
@@ -23,6 +26,8 @@ RESTARTS = 10
 SEED = 42
 # Centroids met by a row at a time.
 CENTROID_BLOCK = 1024
+# Numbers of a block of one family's rows.
+BLOCK_VALUES = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -71,15 +76,54 @@ class FamilyClustering:
     centroids: DataFrame
 
 
-def _nearest(restarts: int) -> Column:
-    """Per restart, the nearest of the family's centroids to `_v`: ties go to the lower cluster."""
-    def best(r):
-        mine = F.filter("_cs", lambda c: c["restart"] == r)
-        near = F.array_min(F.transform(mine, lambda c: F.struct(
-            V.squared_distance(F.col("_v"), c["c"]).alias("d"), c["cluster"].alias("cluster"))))
-        return F.struct(r.alias("restart"), near["cluster"].alias("cluster"), near["d"].alias("d"))
+def _pack_points(single: bool):
+    """mapInPandas: a batch's rows as blocks of at most BLOCK_VALUES numbers of one family."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for (model, pooling), part in batch.groupby(["model", "pooling"], sort=False):
+                points = np.stack(part["_v"].to_numpy()).astype("<f4" if single else "<f8")
+                step = max(1, BLOCK_VALUES // max(1, points.shape[1]))
+                for at in range(0, len(part), step):
+                    yield pd.DataFrame({
+                        "model": [model], "pooling": [pooling], "_keys": [part["_key"].iloc[at:at + step].tolist()],
+                        "_points": [points[at:at + step].tobytes()],
+                    })
 
-    return F.transform(F.sequence(F.lit(0), F.lit(restarts - 1)), best)
+    return run
+
+
+def _nearest(single: bool, sums: bool):
+    """mapInPandas: per block and restart, the nearest centroid of each row (ties go to the lower cluster).
+
+    Yields the sum and number of a block's rows per cluster, or each row with its cluster and squared distance.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for block in batch.itertuples(index=False):
+                restart, cluster = np.asarray(block.restarts), np.asarray(block.clusters)
+                lines = np.asarray(block.lines, float).reshape(len(cluster), -1)
+                points = np.frombuffer(block.points, "<f4" if single else "<f8").reshape(-1, lines.shape[1]).astype(float)
+                # Differences, not products: as exact as the squared distance they stand for.
+                squared = np.empty((len(points), len(cluster)))
+                for i, line in enumerate(lines):
+                    off = points - line
+                    squared[:, i] = np.einsum("ij,ij->i", off, off)
+                for r in np.unique(restart):
+                    mine = np.flatnonzero(restart == r)
+                    best = squared[:, mine].argmin(axis=1)
+                    if sums:
+                        used = np.unique(best)
+                        yield pd.DataFrame({
+                            "model": block.model, "pooling": block.pooling, "restart": r, "cluster": cluster[mine[used]],
+                            "s": [points[best == u].sum(axis=0) for u in used], "n": [int((best == u).sum()) for u in used],
+                        })
+                    else:
+                        yield pd.DataFrame({
+                            "model": block.model, "pooling": block.pooling, "_key": block.keys, "restart": r,
+                            "cluster": cluster[mine[best]], "d": squared[np.arange(len(points)), mine[best]],
+                        })
+
+    return run
 
 
 def kmeans_families(df: DataFrame, key: str, vector: str = "vector", k: int = 3, restarts: int = 1,
@@ -87,36 +131,45 @@ def kmeans_families(df: DataFrame, key: str, vector: str = "vector", k: int = 3,
     """Lloyd's K-means for every (model, pooling) family and restart at once.
 
     Seeding is by random partition: restart r puts each row in cluster hash(key, family, r, seed)
-    mod k, and the first centroids are those clusters' means.  A round joins each row with its
-    family's restarts x k centroids (one row per family, read at once), takes the nearest per
-    restart and forms the new centroids as grouped sums over (model, pooling, restart, cluster):
-    one job for all families, no loop over them.  A cluster left empty keeps its centroid.  The
+    mod k, and the first centroids are those clusters' means.  Rows are stored as blocks of one
+    family; a round joins each block with its family's restarts x k centroids (one row per
+    family), takes the nearest per restart and adds up the block's rows per cluster in numpy, and
+    the new centroids are grouped sums of those over (model, pooling, restart, cluster): one job
+    for all families, no loop over them.  A cluster left empty keeps its centroid.  The
     rounds end when no centroid moves by more than `tolerance` (squared) or after `rounds`.
-    The cheapest restart of each family wins, ties to the lower restart.  Rows without vector are
-    left out.
+    The cheapest restart of each family wins, ties to the lower restart.  Rows without vector or
+    family are left out.
     """
     require_columns(df, "model", "pooling", key, vector)
     family = ["model", "pooling"]
-    rows = materialize(
-        df.where(F.col(vector).isNotNull()).select(*family, F.col(key).alias("_key"), V.as_double(F.col(vector)).alias("_v")),
-        "family-rows",
+    single = df.schema[vector].dataType.simpleString() == "array<float>"
+    rows = df.where(F.col(vector).isNotNull() & F.col("model").isNotNull() & F.col("pooling").isNotNull()).select(
+        *family, F.col(key).alias("_key"), F.col(vector).alias("_v")
     )
-    start = rows.select(*family, "_key", "_v", F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("restart")).withColumn(
+    rows = materialize(rows if single else rows.withColumn("_v", V.as_double(F.col("_v"))), "family-rows")
+    kinds = {c: rows.schema[c].dataType.simpleString() for c in [*family, "_key"]}
+    named = ", ".join(f"{c} {kinds[c]}" for c in family)
+    blocks = materialize(rows.mapInPandas(_pack_points(single), f"{named}, _keys array<{kinds['_key']}>, _points binary"), "family-blocks")
+    start = rows.select(*family, "_key", V.as_double(F.col("_v")).alias("_v"), F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("restart")).withColumn(
         "cluster", F.pmod(F.xxhash64(F.col("_key"), *family, "restart", F.lit(seed)), F.lit(k)).cast("int")
     )
 
-    def means(assigned: DataFrame) -> DataFrame:
-        summed = assigned.groupBy(*family, "restart", "cluster").agg(vector_sum(F.col("_v")).alias("_s"), F.count(F.lit(1)).alias("_n"))
-        return summed.select(*family, "restart", "cluster", F.transform("_s", lambda x: x / F.col("_n")).alias("c"))
+    def means(summed: DataFrame) -> DataFrame:
+        return summed.select(*family, "restart", "cluster", V.divide(F.col("_s"), F.col("_n").cast("double")).alias("c"))
 
-    def assign(centroids: DataFrame) -> DataFrame:
-        packed = centroids.groupBy(*family).agg(F.collect_list(F.struct("restart", "cluster", "c")).alias("_cs"))
-        near = rows.join(packed, family).select(*family, "_key", "_v", F.inline(_nearest(restarts)))
-        return near.where(F.col("cluster").isNotNull())
+    def assign(centroids: DataFrame, sums: bool, schema: str) -> DataFrame:
+        packed = centroids.groupBy(*family).agg(F.sort_array(F.collect_list(F.struct("restart", "cluster", "c"))).alias("_cs"))
+        met = blocks.join(packed, family).select(
+            *family, F.col("_cs.restart").alias("restarts"), F.col("_cs.cluster").alias("clusters"), F.flatten("_cs.c").alias("lines"),
+            F.col("_points").alias("points"), *([] if sums else [F.col("_keys").alias("keys")]),
+        )
+        return met.mapInPandas(_nearest(single, sums), f"{named}, {schema}")
 
-    centroids = materialize(means(start), "centroids-0")
+    first = start.groupBy(*family, "restart", "cluster").agg(vector_sum(F.col("_v")).alias("_s"), F.count(F.lit(1)).alias("_n"))
+    centroids = materialize(means(first), "centroids-0")
     for round_ in range(1, rounds + 1):
-        moved = means(assign(centroids))
+        summed = assign(centroids, True, "restart int, cluster int, s array<double>, n bigint").groupBy(*family, "restart", "cluster")
+        moved = means(summed.agg(vector_sum(F.col("s")).alias("_s"), F.sum("n").alias("_n")))
         # An empty cluster keeps its centroid.
         fresh = centroids.alias("o").join(moved.alias("n"), [*family, "restart", "cluster"], "left").select(
             *family, "restart", "cluster", F.coalesce(F.col("n.c"), F.col("o.c")).alias("c"),
@@ -127,7 +180,7 @@ def kmeans_families(df: DataFrame, key: str, vector: str = "vector", k: int = 3,
         centroids = fresh.drop("_shift")
         if shift is None or shift <= tolerance:
             break
-    final = materialize(assign(centroids), "family-assignments")
+    final = materialize(assign(centroids, False, f"_key {kinds['_key']}, restart int, cluster int, d double"), "family-assignments")
     costs = materialize(final.groupBy(*family, "restart").agg(F.sum("d").alias("cost")), "family-costs")
     chosen = costs.groupBy(*family).agg(F.min_by("restart", F.struct("cost", "restart")).alias("restart"))
     assigned = final.join(chosen, [*family, "restart"]).select(*family, F.col("_key").alias(key), "cluster")
