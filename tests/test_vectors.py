@@ -372,3 +372,20 @@ def test_vectors_do_not_travel_per_token(spark):
     df = spark.createDataFrame([(1, ["a", "a"])], "row_id int, w2v_tokens array<string>")
     plan = W.mean_word_vector(df, words, vector_size=1)._jdf.queryExecution().optimizedPlan().toString()
     assert "FlatMapCoGroupsInArrow" in plan and "row_id" not in plan.split("Generate explode")[-1]
+
+
+def test_a_row_goes_to_few_pairs_of_blocks(spark):
+    df = spark.range(10_000).select(F.col("id").alias("row_id"), F.array(F.rand(1), F.rand(2)).alias("vector"))
+    # As many blocks as the cores ask for, not one for each 4096 short vectors.
+    assert S.block_tasks(df, "row_id", "vector").count() == 20_000
+
+
+def test_families_meet_their_centroids_in_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(m, "mean", i, rng.normal(size=3).tolist()) for m in ("a", "b") for i in range(30)] + [(None, "mean", 1, [0.0] * 3)]
+    df = spark.createDataFrame(rows, "model string, pooling string, row_id long, vector array<float>").repartition(3)
+    # Two rounds, so that sums of blocks and the empty case both come up.
+    run = lambda: sorted(map(tuple, C.kmeans_families(df, "row_id", k=2, restarts=2, rounds=2).assigned.collect()))
+    whole = run()
+    monkeypatch.setattr(C, "BLOCK_VALUES", 12)
+    assert run() == whole and len(whole) == 60

@@ -21,10 +21,11 @@ from tidepost.functions.text import snippet
 from tidepost.session import materialize
 from tidepost.operators.vector_sums import gram_matrix, total_vector
 
-# Rows per block: the task of one pair of blocks holds two of them.
-BLOCK_ROWS = 4096
-# Rows of a block multiplied at a time.
-STRIP_ROWS = 256
+# Numbers per block: the task of one pair of blocks holds two of them (16 MB each) and a strip's results.
+# A row goes to as many tasks as there are blocks, so what is shuffled falls as blocks grow.
+BLOCK_VALUES = 1 << 21
+# Least rows of a block, and similarities worked on at a time.
+STRIP_ROWS, STRIP_CELLS = 256, 1 << 20
 # Bins of one counting pass when locating the median.
 MEDIAN_BINS = 65536
 # Sampled rows that one task opens at a time, twice.
@@ -248,8 +249,9 @@ def _block_task(summary: RowSummary | BinCounts, table: pa.Table) -> pa.Table:
     summary.start(left_keys, right_keys, same)
     if len(left_keys) and len(right_keys):
         rows, columns = _stack(left.column("unit")), _stack(right.column("unit")).T
-        for at in range(0, len(rows), STRIP_ROWS):
-            sims = np.clip(rows[at:at + STRIP_ROWS] @ columns, -1.0, 1.0)
+        strip = max(1, STRIP_CELLS // len(right_keys))
+        for at in range(0, len(rows), strip):
+            sims = np.clip(rows[at:at + strip] @ columns, -1.0, 1.0)
             upper = None
             if same:
                 upper = np.arange(sims.shape[1]) > (at + np.arange(len(sims)))[:, None]
@@ -268,10 +270,15 @@ def block_count(rows: int, block_rows: int, cores: int) -> int:
     return max(1, for_size, for_cores)
 
 
-def block_tasks(df: DataFrame, key: str, vector: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Copies of the unit vectors, one for each pair of blocks they take part in."""
+def block_tasks(df: DataFrame, key: str, vector: str, block_rows: int | None = None) -> DataFrame:
+    """Copies of the unit vectors, one for each pair of blocks they take part in.
+
+    Without `block_rows` a block has as many rows as make BLOCK_VALUES numbers.
+    """
     df = df.filter(F.col(vector).isNotNull())
-    blocks = block_count(df.count(), block_rows, df.sparkSession.sparkContext.defaultParallelism)
+    found = df.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.max(F.size(vector)), F.lit(1)).alias("size")).first()
+    block_rows = block_rows or max(STRIP_ROWS, BLOCK_VALUES // max(1, found["size"]))
+    blocks = block_count(found["rows"], block_rows, df.sparkSession.sparkContext.defaultParallelism)
     units = unit_vectors(df, vector).select(
         F.col(key).cast("bigint").alias("key"),
         F.pmod(F.xxhash64(F.col(key)), F.lit(blocks)).cast("int").alias("_own"), "unit",
@@ -300,7 +307,7 @@ def _bin_table(tasks: DataFrame, low: float, high: float, bins: int) -> list:
 
 
 def similarity_pairs(df: DataFrame, key: str = "row_id", vector: str = "vector",
-                     block_rows: int = BLOCK_ROWS) -> DataFrame:
+                     block_rows: int | None = None) -> DataFrame:
     """Per row: number of other rows, mean, least and greatest cosine to them.
 
     Every pair is evaluated; the result has one line per row instead of the
@@ -321,7 +328,7 @@ def similarity_pairs(df: DataFrame, key: str = "row_id", vector: str = "vector",
 
 
 def similarity_extremes(df: DataFrame, key: str = "row_id", vector: str = "vector",
-                        block_rows: int = BLOCK_ROWS, bins: int = MEDIAN_BINS) -> DataFrame:
+                        block_rows: int | None = None, bins: int = MEDIAN_BINS) -> DataFrame:
     """(min, max, median) of the cosine of all pairs i<j.
 
     The first pass counts the pairs in bins of [-1, 1], the second splits the
@@ -356,7 +363,7 @@ def similarity_extremes(df: DataFrame, key: str = "row_id", vector: str = "vecto
 
 
 def similarity_stats(df: DataFrame, key: str = "row_id", vector: str = "vector",
-                     block_rows: int = BLOCK_ROWS) -> DataFrame:
+                     block_rows: int | None = None) -> DataFrame:
     """One row each for the raw and the centered vectors: pairs, mean, std, min, max, median."""
     results = []
     centered = center_vectors(df.select(key, vector), vector).select(key, F.col("centered").alias(vector))
@@ -372,7 +379,7 @@ def similarity_stats(df: DataFrame, key: str = "row_id", vector: str = "vector",
 
 
 def similarity_histogram(df: DataFrame, key: str = "row_id", vector: str = "vector", bins: int = 80,
-                         block_rows: int = BLOCK_ROWS) -> DataFrame:
+                         block_rows: int | None = None) -> DataFrame:
     """(bin, low, high, pairs): `bins` equal bins from the least to the greatest similarity."""
     require_columns(df, key, vector)
     tasks = block_tasks(df, key, vector, block_rows)
