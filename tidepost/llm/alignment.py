@@ -6,6 +6,10 @@ that hold it.  A pair of ids (A, B) counts once for each document that links it:
 count is the sum of the multiplicities of the distinct texts that link it.  The measures of a
 distinct text are joined back to the doc_ids of all its rows by the text's SHA-256.
 
+Aligned texts are stored in blocks of about BLOCK_LINES pairs.  A block holds each of its distinct
+pairs once, with the documents of the block that link it, and its texts as places in that list, so
+what meets in the corpus-wide sums, and comes back, is a line per block and pair, not per text.
+
 A encodes space+text with a byte-level BPE vocabulary, B the text with a sentencepiece model
 (which puts a space in front by itself); both without special tokens, whose strings in a text are
 plain text.  A token's bytes: A's entry through the byte-level table, B's piece in UTF-8 with
@@ -30,15 +34,20 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
 from tidepost.llm.common import WordCache, byte_characters, worker_memo
 from tidepost.llm.word_ids import WordIds
+from tidepost.operators.word_blocks import pack, unpack
 from tidepost.session import materialize
 
-MEASURES = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, occurrences array<int>"
-# Texts aligned and handed back at a time, and words whose ids a worker keeps.
-ROWS, CACHED_WORDS = 256, 100_000
+# The measures of one text; its pairs and how often it holds each go into its block.
+MEASURES = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
+BLOCK = f"block long, texts array<struct<digest: binary, {MEASURES.replace(' ', ': ').replace(',:', ',')}, size: int>>, pairs array<long>, counts array<long>, places binary"
+FOUND = f"digest binary, {MEASURES}, count_sum long, n_best long"
+# Texts aligned at a time, words whose ids a worker keeps, and pairs and texts of a block.
+ROWS, CACHED_WORDS, BLOCK_LINES, BLOCK_TEXTS = 256, 100_000, 1 << 21, 1 << 16
 _BYTE = re.compile(r"<0x([0-9A-Fa-f]{2})>")
 
 
@@ -141,21 +150,59 @@ def _gather(flat: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarr
     return flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)]
 
 
-def measures(vocabulary_a: str, model_b: str, columns: list[str]):
-    """mapInPandas over (`columns`..., text): the columns and the measures of each text, in batches of ROWS texts."""
-    names = [field.split()[0] for field in MEASURES.split(", ")]
+def _block(number: int, texts: list[tuple]) -> pd.DataFrame:
+    """One line of BLOCK from (digest, mult, measures..., pairs, occurrences) of its texts."""
+    sizes = np.array([len(t[-2]) for t in texts])
+    codes = np.concatenate([np.asarray(t[-2], np.int64) for t in texts])
+    pairs, place = np.unique(codes, return_inverse=True)
+    counts = np.zeros(len(pairs), np.int64)
+    np.add.at(counts, place, np.repeat(np.array([t[1] for t in texts], np.int64), sizes))
+    occurrences = np.concatenate([np.asarray(t[-1], np.int64) for t in texts])
+    return pd.DataFrame({
+        "block": [number], "texts": [[(t[0], *t[2:-2], int(n)) for t, n in zip(texts, sizes)]], "pairs": [pairs], "counts": [counts],
+        "places": [pack(place, occurrences) if len(place) else b""],
+    })
+
+
+def align_blocks(vocabulary_a: str, model_b: str):
+    """mapInPandas over (digest, mult, text): the aligned texts in blocks (see BLOCK)."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         aligner = worker_memo(("alignment", vocabulary_a, model_b), lambda: Aligner(vocabulary_a, model_b))
+        number, waiting, lines = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             for at in range(0, len(batch), ROWS):
                 part = batch.iloc[at : at + ROWS]
-                found = pd.DataFrame(aligner.run(part["text"].tolist()), columns=names, index=part.index)
-                yield pd.concat([part[columns], found], axis=1)
+                for digest, mult, found in zip(part["digest"], part["mult"], aligner.run(part["text"].tolist())):
+                    waiting.append((digest, mult, *found))
+                    lines += len(found[-2])
+                    if lines >= BLOCK_LINES or len(waiting) >= BLOCK_TEXTS:
+                        yield _block(number, waiting)
+                        number, waiting, lines = number + 1, [], 0
+        if waiting:
+            yield _block(number, waiting)
 
     return run
 
 
+def _measure(blocks: pa.Table, stats: pa.Table) -> pa.Table:
+    """cogroup: the texts of a block with their measures, from the block and the counts of its pairs corpus-wide."""
+    names = [field.split()[0] for field in FOUND.split(", ")]
+    by_pair = np.argsort(stats.column("pair").to_numpy())
+    count, is_best = (stats.column(c).to_numpy()[by_pair].astype(np.int64) for c in ("count", "is_best"))
+    found = {name: [] for name in names}
+    for texts, places in zip(blocks.column("texts").to_pylist(), blocks.column("places").to_pylist()):
+        place, occurrences = unpack(places, 2) if places else (np.empty(0, np.int64), np.empty(0, np.int64))
+        ends = np.cumsum([t["size"] for t in texts])
+        for t in texts:
+            for name in names[:-2]:
+                found[name].append(t[name])
+        for name, each in (("count_sum", occurrences * count[place]), ("n_best", occurrences * is_best[place])):
+            found[name].extend(np.diff(np.append(0, np.cumsum(each))[ends], prepend=0).tolist())
+    kinds = {"digest": pa.binary(), "groups_sha256": pa.string()}
+    return pa.table({name: pa.array(found[name], kinds.get(name, pa.int64())) for name in names})
+
+
 def size_b(model_b: str) -> int:
     import sentencepiece
 
@@ -174,24 +221,17 @@ def align_tokens(docs: DataFrame, vocabulary_a: str, model_b: str, key: str = "d
     # Each distinct text once, with the number of rows that hold it.
     distinct = docs.where(filled).groupBy("text").agg(F.count(F.lit(1)).alias("mult"))
     keyed = distinct.select(F.unhex(F.sha2(text, 256)).alias("digest"), "mult", "text")
-    aligned = materialize(
-        keyed.mapInPandas(measures(vocabulary_a, model_b, ["digest", "mult"]), f"digest binary, mult long, {MEASURES}"), "alignment"
-    )
-    pairs = aligned.select("digest", "mult", F.inline(F.arrays_zip(F.col("pairs").alias("pair"), F.col("occurrences").alias("occ"))))
-    counted = pairs.groupBy("pair").agg(F.sum("mult").alias("count"))
-    best = counted.groupBy((F.col("pair") / width).cast("long").alias("a")).agg(F.max("count").alias("best"))
-    stats = materialize(
-        counted.join(best, (F.col("pair") / width).cast("long") == F.col("a")).select("pair", "count", (F.col("count") == F.col("best")).alias("is_best")),
-        "alignment-pairs",
-    )
-    per_text = pairs.join(stats, "pair").groupBy("digest").agg(
-        F.sum(F.col("occ") * F.col("count")).alias("count_sum"),
-        F.sum(F.when(F.col("is_best"), F.col("occ")).otherwise(0)).alias("n_best"),
-    )
+    aligned = materialize(keyed.mapInPandas(align_blocks(vocabulary_a, model_b), BLOCK), "alignment", keep_shuffles=False)
+    lines = aligned.select("block", F.inline(F.arrays_zip(F.col("pairs").alias("pair"), F.col("counts").alias("count"))))
+    counted = lines.groupBy("pair").agg(F.sum("count").alias("count"))
+    best = F.max("count").over(Window.partitionBy((F.col("pair") / width).cast("long")))
+    stats = materialize(counted.select("pair", "count", (F.col("count") == best).alias("is_best")), "alignment-pairs")
+    # Merged, not broadcast: the pairs grow with the corpus.
+    back = lines.select(F.col("block").alias("of"), "pair").join(stats.hint("merge"), "pair")
+    per_text = aligned.select("block", "texts", "places").groupBy("block").cogroup(back.groupBy("of")).applyInArrow(_measure, FOUND)
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.when(filled, F.unhex(F.sha2(text, 256))).alias("digest"))
-    found = aligned.select("digest", "n_a", "n_b", "n_groups", "n_links", "groups_sha256").join(per_text, "digest", "left")
     zero = F.lit(0).cast("long")
-    return rows.join(found, "digest", "left").select(
+    return rows.join(per_text, "digest", "left").select(
         F.col("key").alias(key),
         *[F.coalesce(F.col(c), zero).alias(c) for c in ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")],
         F.coalesce(F.col("groups_sha256"), F.lit("")).alias("groups_sha256"),
