@@ -389,3 +389,18 @@ def test_families_meet_their_centroids_in_blocks(spark, monkeypatch):
     whole = run()
     monkeypatch.setattr(C, "BLOCK_VALUES", 12)
     assert run() == whole and len(whole) == 60
+
+
+def test_kmeans_deals_one_large_partition_and_stores_its_rows(spark, frame, sample, monkeypatch):
+    from pathlib import Path
+
+    from tidepost.session import shared_folder
+
+    folder = Path(shared_folder(spark).removeprefix("file://"))
+    stored = lambda: set(folder.glob("tidepost-*/kmeans-features-*"))
+    before = stored()
+    monkeypatch.setattr(C, "BLOCK_VALUES", 4)
+    result = C.kmeans(frame.coalesce(1), k=3, restarts=2)
+    (features,) = stored() - before
+    assert len(list(features.glob("part-*"))) > 1
+    assert result.assigned.count() == len(sample)

@@ -8,7 +8,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -46,24 +46,23 @@ def kmeans(df: DataFrame, key: str = "row_id", vector: str = "vector", k: int =
     Runs are independent Spark jobs; a few are submitted at a time.
     """
     require_columns(df, key, vector)
-    features = df.filter(F.col(vector).isNotNull()).select(
-        key, array_to_vector(V.as_double(F.col(vector))).alias("features")
-    )
-    # Every run reads the same rows again.
-    features = features.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = df.filter(F.col(vector).isNotNull())
+    # A table of few large files is clustered by as many tasks as its numbers ask for.
+    parts = -(-(rows.agg(F.sum(F.size(vector).cast("long"))).first()[0] or 0) // BLOCK_VALUES)
+    if parts > rows.rdd.getNumPartitions():
+        rows = rows.repartition(parts, key)
+    # Stored, not persisted: a fit over a persisted table decodes it twice in every iteration, over
+    # any other it keeps the decoded vectors with their norms until it ends.
+    features = materialize(rows.select(key, array_to_vector(V.as_double(F.col(vector))).alias("features")), "kmeans-features")
 
     def fit(run: int) -> KMeansModel:
         return KMeans(k=k, seed=seed + run, maxIter=max_iter, predictionCol="cluster").fit(features)
 
-    try:
-        with ThreadPool(min(parallelism, restarts)) as pool:
-            models = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(restarts))
-        costs = [model.summary.trainingCost for model in models]
-        best = models[costs.index(min(costs))]
-        # Stored while the features are at hand; later readers do not compute them again.
-        assigned = materialize(best.transform(features).select(key, "cluster"), "clusters")
-    finally:
-        features.unpersist()
+    with ThreadPool(min(parallelism, restarts)) as pool:
+        models = pool.map(inheritable_thread_target(df.sparkSession)(fit), range(restarts))
+    costs = [model.summary.trainingCost for model in models]
+    best = models[costs.index(min(costs))]
+    assigned = materialize(best.transform(features).select(key, "cluster"), "clusters")
     return Clustering(best, costs, assigned)
 
 
