@@ -46,8 +46,12 @@ def unit(v: Column) -> Column:
 
 
 def round_vector(v: Column, digits: int = 6) -> Column:
-    """Components rounded half-even."""
-    return F.transform(v, lambda x: F.bround(x, digits))
+    """Components rounded half-even.
+
+    Rounding goes through decimals; zeros, most of a hashed vector, are spared that.  `x - x` is
+    the positive zero of the vector's own type, as rounding gives it.
+    """
+    return F.transform(v, lambda x: F.when(x == 0, x - x).otherwise(F.bround(x, digits)))
 
 
 def zero_vector(size: int) -> Column:
