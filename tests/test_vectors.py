@@ -404,3 +404,24 @@ def test_kmeans_deals_one_large_partition_and_stores_its_rows(spark, frame, samp
     (features,) = stored() - before
     assert len(list(features.glob("part-*"))) > 1
     assert result.assigned.count() == len(sample)
+
+
+def test_stored_family_blocks_are_read_in_small_pieces(spark, monkeypatch):
+    """A reader opens many lines of a row group at once: neither blocks nor row groups may be large."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    rng = np.random.default_rng(5)
+    rows = [(m, "mean", i, rng.random(768).tolist()) for m in "ab" for i in range(2000)]
+    df = spark.createDataFrame(rows, "model string, pooling string, row_id int, vector array<float>").coalesce(1)
+    stored = []
+    keep = C.materialize
+    monkeypatch.setattr(C, "materialize", lambda t, name, **more: stored.append((name, keep(t, name, **more))) or stored[-1][1])
+    assigned = C.kmeans_families(df, "row_id", k=2, restarts=2, rounds=2).assigned
+    assert assigned.groupBy("model", "row_id").count().count() == 4000
+    blocks = next(t for name, t in stored if name == "family-blocks")
+    assert blocks.selectExpr("max(length(_points))").first()[0] <= 1 << 18
+    files = [Path(f.removeprefix("file:")) for f in blocks.inputFiles()]
+    groups = [pq.ParquetFile(f).metadata.row_group(i).total_byte_size for f in files for i in range(pq.ParquetFile(f).metadata.num_row_groups)]
+    assert len(groups) > 1 and max(groups) < 1 << 24

@@ -8,6 +8,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
@@ -18,6 +19,7 @@ from tidepost.functions import vectors as V
 from tidepost.functions.text import snippet
 from tidepost.operators.encoder import concat_results
 from tidepost.operators.vector_sums import vector_sum
+from tidepost.operators.word_blocks import list_column
 from tidepost.session import materialize
 
 # Settings of the clustering.
@@ -26,8 +28,12 @@ RESTARTS = 10
 SEED = 42
 # Centroids met by a row at a time.
 CENTROID_BLOCK = 1024
-# Numbers of a block of one family's rows.
-BLOCK_VALUES = 1 << 20
+# Numbers of a partition's rows, and of a stored block of one family's rows.
+BLOCK_VALUES, STORED_VALUES = 1 << 20, 1 << 16
+# A reader holds up to 4096 lines of a row group at once, so blocks are stored in small ones.
+STORED_AS = {"parquet.block.size": str(2 << 20), "parquet.block.size.row.check.min": "16", "parquet.page.size.row.check.min": "1", "parquet.enable.dictionary": "false"}
+# Families whose sums a task keeps at once.
+KEPT_FAMILIES = 64
 
 
 @dataclass(frozen=True)
@@ -76,12 +82,12 @@ class FamilyClustering:
 
 
 def _pack_points(single: bool):
-    """mapInPandas: a batch's rows as blocks of at most BLOCK_VALUES numbers of one family."""
+    """mapInPandas: a batch's rows as blocks of at most STORED_VALUES numbers of one family."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for (model, pooling), part in batch.groupby(["model", "pooling"], sort=False):
                 points = np.stack(part["_v"].to_numpy()).astype("<f4" if single else "<f8")
-                step = max(1, BLOCK_VALUES // max(1, points.shape[1]))
+                step = max(1, min(BLOCK_VALUES, STORED_VALUES) // max(1, points.shape[1]))
                 for at in range(0, len(part), step):
                     yield pd.DataFrame({
                         "model": [model], "pooling": [pooling], "_keys": [part["_key"].iloc[at:at + step].tolist()],
@@ -92,35 +98,57 @@ def _pack_points(single: bool):
 
 
 def _nearest(single: bool, sums: bool):
-    """mapInPandas: per block and restart, the nearest centroid of each row (ties go to the lower cluster).
+    """mapInArrow: per block and restart, the nearest centroid of each row (ties go to the lower cluster).
 
-    Yields the sum and number of a block's rows per cluster, or each row with its cluster and squared distance.
+    Yields the sum and number of a task's rows per family and cluster, or each row with its cluster and squared distance.
     """
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def lines_of(families: dict, kinds: tuple) -> Iterator[pa.RecordBatch]:
+        for (model, pooling), (restart, cluster, s, n) in families.items():
+            used = np.flatnonzero(n)
+            same = [pa.array([value] * len(used), kind) for value, kind in zip((model, pooling), kinds)]
+            yield pa.record_batch({
+                "model": same[0], "pooling": same[1], "restart": pa.array(restart[used], pa.int32()),
+                "cluster": pa.array(cluster[used], pa.int32()), "s": list_column(s[used]), "n": pa.array(n[used]),
+            })
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        families, kinds = {}, ()
         for batch in batches:
-            for block in batch.itertuples(index=False):
-                restart, cluster = np.asarray(block.restarts), np.asarray(block.clusters)
-                lines = np.asarray(block.lines, float).reshape(len(cluster), -1)
-                points = np.frombuffer(block.points, "<f4" if single else "<f8").reshape(-1, lines.shape[1]).astype(float)
+            column = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
+            kinds, out = (column["model"].type, column["pooling"].type), []
+            for i in range(batch.num_rows):
+                family = (column["model"][i].as_py(), column["pooling"][i].as_py())
+                restart, cluster = (np.asarray(column[c][i].values) for c in ("restarts", "clusters"))
+                lines = np.asarray(column["lines"][i].values, float).reshape(len(cluster), -1)
+                points = np.frombuffer(column["points"][i].as_buffer(), "<f4" if single else "<f8").reshape(-1, lines.shape[1]).astype(float)
                 # Differences, not products: as exact as the squared distance they stand for.
                 squared = np.empty((len(points), len(cluster)))
-                for i, line in enumerate(lines):
+                for j, line in enumerate(lines):
                     off = points - line
-                    squared[:, i] = np.einsum("ij,ij->i", off, off)
+                    squared[:, j] = np.einsum("ij,ij->i", off, off)
+                if sums and family not in families:
+                    if len(families) >= KEPT_FAMILIES:
+                        yield from lines_of(families, kinds)
+                        families = {}
+                    families[family] = (restart, cluster, np.zeros(lines.shape), np.zeros(len(cluster), np.int64))
                 for r in np.unique(restart):
                     mine = np.flatnonzero(restart == r)
                     best = squared[:, mine].argmin(axis=1)
                     if sums:
-                        used = np.unique(best)
-                        yield pd.DataFrame({
-                            "model": block.model, "pooling": block.pooling, "restart": r, "cluster": cluster[mine[used]],
-                            "s": [points[best == u].sum(axis=0) for u in used], "n": [int((best == u).sum()) for u in used],
-                        })
+                        _, _, s, n = families[family]
+                        for u in np.unique(best):
+                            s[mine[u]] += points[best == u].sum(axis=0)
+                            n[mine[u]] += (best == u).sum()
                     else:
-                        yield pd.DataFrame({
-                            "model": block.model, "pooling": block.pooling, "_key": block.keys, "restart": r,
-                            "cluster": cluster[mine[best]], "d": squared[np.arange(len(points)), mine[best]],
-                        })
+                        same = [pa.array([value] * len(points), kind) for value, kind in zip(family, kinds)]
+                        out.append(pa.record_batch({
+                            "model": same[0], "pooling": same[1], "_key": column["keys"][i].values,
+                            "restart": pa.array(np.full(len(points), r), pa.int32()), "cluster": pa.array(cluster[mine[best]], pa.int32()),
+                            "d": pa.array(squared[np.arange(len(points)), mine[best]]),
+                        }))
+            if out:
+                yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+        yield from lines_of(families, kinds)
 
     return run
 
@@ -132,7 +160,7 @@ def kmeans_families(df: DataFrame, key: str, vector: str = "vector", k: int = 3,
     Seeding is by random partition: restart r puts each row in cluster hash(key, family, r, seed)
     mod k, and the first centroids are those clusters' means.  Rows are stored as blocks of one
     family; a round joins each block with its family's restarts x k centroids (one row per
-    family), takes the nearest per restart and adds up the block's rows per cluster in numpy, and
+    family), takes the nearest per restart and adds up the task's rows per family and cluster in numpy, and
     the new centroids are grouped sums of those over (model, pooling, restart, cluster): one job
     for all families, no loop over them.  A cluster left empty keeps its centroid.  The
     rounds end when no centroid moves by more than `tolerance` (squared) or after `rounds`.
@@ -148,7 +176,7 @@ def kmeans_families(df: DataFrame, key: str, vector: str = "vector", k: int = 3,
     rows = materialize(rows if single else rows.withColumn("_v", V.as_double(F.col("_v"))), "family-rows")
     kinds = {c: rows.schema[c].dataType.simpleString() for c in [*family, "_key"]}
     named = ", ".join(f"{c} {kinds[c]}" for c in family)
-    blocks = materialize(rows.mapInPandas(_pack_points(single), f"{named}, _keys array<{kinds['_key']}>, _points binary"), "family-blocks")
+    blocks = materialize(rows.mapInPandas(_pack_points(single), f"{named}, _keys array<{kinds['_key']}>, _points binary"), "family-blocks", **STORED_AS)
     start = rows.select(*family, "_key", V.as_double(F.col("_v")).alias("_v"), F.explode(F.sequence(F.lit(0), F.lit(restarts - 1))).alias("restart")).withColumn(
         "cluster", F.pmod(F.xxhash64(F.col("_key"), *family, "restart", F.lit(seed)), F.lit(k)).cast("int")
     )
@@ -162,7 +190,7 @@ def kmeans_families(df: DataFrame, key: str, vector: str = "vector", k: int = 3,
             *family, F.col("_cs.restart").alias("restarts"), F.col("_cs.cluster").alias("clusters"), F.flatten("_cs.c").alias("lines"),
             F.col("_points").alias("points"), *([] if sums else [F.col("_keys").alias("keys")]),
         )
-        return met.mapInPandas(_nearest(single, sums), f"{named}, {schema}")
+        return met.mapInArrow(_nearest(single, sums), f"{named}, {schema}")
 
     first = start.groupBy(*family, "restart", "cluster").agg(vector_sum(F.col("_v")).alias("_s"), F.count(F.lit(1)).alias("_n"))
     centroids = materialize(means(first), "centroids-0")

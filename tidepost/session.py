@@ -95,12 +95,12 @@ def stored_within() -> Iterator[None]:
             _delete(spark, path)
 
 
-def materialize(df, name: str, keep_shuffles: bool = True):
+def materialize(df, name: str, keep_shuffles: bool = True, **options: str):
     """Write `df` once to the shared folder and read it back.
 
     Cuts the lineage of a plan that is read several times or whose row order
     must stay fixed; the copy survives the loss of executors.  With `keep_shuffles` off, the
-    shuffle files of this one write go with it: see `without_shuffles`.
+    shuffle files of this one write go with it: see `without_shuffles`.  `options` are the writer's.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
@@ -108,7 +108,7 @@ def materialize(df, name: str, keep_shuffles: bool = True):
     if noted is not None:
         noted.append((spark, path))
     with nullcontext() if keep_shuffles else without_shuffles(spark):
-        df.write.parquet(path)
+        df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
