@@ -2,6 +2,7 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -425,3 +426,36 @@ def test_stored_family_blocks_are_read_in_small_pieces(spark, monkeypatch):
     files = [Path(f.removeprefix("file:")) for f in blocks.inputFiles()]
     groups = [pq.ParquetFile(f).metadata.row_group(i).total_byte_size for f in files for i in range(pq.ParquetFile(f).metadata.num_row_groups)]
     assert len(groups) > 1 and max(groups) < 1 << 24
+
+
+@pytest.mark.parametrize("rows,size", [(90, 3), (301, 64), (7, 400)])
+def test_extremes_in_single_precision_are_exact(spark, rows, size):
+    rng = np.random.default_rng(rows)
+    x = rng.normal(size=(rows, size)) + 0.3
+    x[3], x[5], x[6] = x[2], -x[4], 0.0
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)] + [(rows, [float("nan")] * size), (rows + 1, None)], "row_id int, vector array<double>")
+    unit = x / np.where((length := np.linalg.norm(x, axis=1)) > 0, length, 1.0)[:, None]
+    want = np.clip(unit @ unit.T, -1, 1)[np.triu_indices(rows, 1)]
+    for block_rows in (None, 64):
+        got = S.similarity_extremes(df, block_rows=block_rows).first()
+        assert abs(got["min"] - want.min()) < 1e-12 and abs(got["max"] - want.max()) < 1e-12
+        assert abs(got["median"] - np.median(want)) < 1e-8
+
+
+def test_the_passes_over_all_pairs_do_not_bin_in_double_precision(monkeypatch):
+    # Cells are worked out again in double precision only near the ends and the median.
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(600, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    table = pa.table({
+        "key": np.arange(600), "unit": pa.array(x.tolist()), "block_i": np.zeros(600, np.int32), "block_j": np.ones(600, np.int32),
+        "side": (np.arange(600) >= 300).astype(np.int32),
+    })
+    want, again = x[:300] @ x[300:].T, []
+    keep = S._Tile.exact
+    monkeypatch.setattr(S._Tile, "exact", lambda tile, wanted: again.append(wanted.sum()) or keep(tile, wanted))
+    near = S._block_task(S.NearBins(65536), table).to_pydict()
+    assert sum(near["pairs"]) == want.size and near["least"][0] == pytest.approx(want.min(), abs=1e-12)
+    window = S._block_task(S.WindowBins(-1e-4, 1e-4, 100), table).to_pydict()
+    assert window["pairs"][0] == (want < -1e-4).sum() and sum(window["pairs"][1:]) == (abs(want) <= 1e-4).sum()
+    assert sum(again) < want.size / 50

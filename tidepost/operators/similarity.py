@@ -26,6 +26,8 @@ from tidepost.operators.vector_sums import gram_matrix, total_vector
 BLOCK_VALUES = 1 << 21
 # Least rows of a block, and similarities worked on at a time.
 STRIP_ROWS, STRIP_CELLS = 256, 1 << 20
+# Rows and columns of a tile in single precision; of its cells one in so many is worked out again one by one, more all together.
+TILE_ROWS, TILE_COLUMNS, EXACT_SHARE = 256, 2048, 32
 # Bins of one counting pass when locating the median.
 MEDIAN_BINS = 65536
 # Sampled rows that one task opens at a time, twice.
@@ -236,7 +238,102 @@ class BinCounts:
                 "least": np.full(len(found), self.least), "greatest": np.full(len(found), self.greatest)}
 
 
-def _block_task(summary: RowSummary | BinCounts, table: pa.Table) -> pa.Table:
+class _Tile:
+    """Similarities of some rows with some others, in single precision, at most `eps` off; exact ones on request."""
+
+    def __init__(self, sims: np.ndarray, left: np.ndarray, right: np.ndarray, eps: float):
+        self.sims, self.left, self.right, self.eps = sims, left, right, eps
+
+    def exact(self, wanted: np.ndarray) -> np.ndarray:
+        """The exact values of the wanted cells."""
+        found = np.flatnonzero(wanted)
+        if len(found) > wanted.size // EXACT_SHARE:
+            values = (self.left @ self.right.T)[wanted]
+        else:
+            i, j = np.divmod(found, wanted.shape[1])
+            values = np.einsum("ij,ij->i", self.left[i], self.right[j])
+        return np.clip(values, -1.0, 1.0)
+
+
+class NearBins:
+    """The similarities counted in `bins` equal bins of [-1, 1], a bin's edges `eps` off; exact least and greatest."""
+
+    schema = BinCounts.schema
+
+    def __init__(self, bins: int):
+        self.bins = bins
+
+    def start(self) -> None:
+        self.pairs, self.least, self.greatest = np.zeros(self.bins, np.int64), np.inf, -np.inf
+
+    def add(self, tile: _Tile, shown: np.ndarray | None) -> None:
+        sims = tile.sims
+        values = sims.reshape(-1) if shown is None else sims[shown]
+        if not len(values):
+            return
+        # Only cells that may pass the ends so far are looked at again; none passes 1 or -1.
+        low, high, eps = float(values.min()), float(values.max()), tile.eps
+        if low - eps < self.least and self.least > -1.0:
+            self.least = min(self.least, tile.exact(sims <= min(low + 2 * eps, self.least + eps)).min(initial=np.inf))
+        if high + eps > self.greatest and self.greatest < 1.0:
+            self.greatest = max(self.greatest, tile.exact(sims >= max(high - 2 * eps, self.greatest - eps)).max(initial=-np.inf))
+        # In place: nothing reads the tile after this.  Rounding may carry values over the ends, by less than `over` bins.
+        half, over = self.bins / 2, math.ceil(eps * self.bins / 2) + 1
+        values *= np.float32(half)
+        values += np.float32(half + over)
+        pairs = np.bincount(values.astype(np.intp), minlength=self.bins + 2 * over)
+        self.pairs += pairs[over:-over]
+        self.pairs[0] += pairs[:over].sum()
+        self.pairs[-1] += pairs[-over:].sum()
+
+    def result(self) -> dict:
+        found = np.flatnonzero(self.pairs)
+        return {"bin": found + 1, "pairs": self.pairs[found], "total": np.zeros(len(found)),
+                "least": np.full(len(found), self.least), "greatest": np.full(len(found), self.greatest)}
+
+
+class WindowBins(BinCounts):
+    """The exact number of similarities below `low` (as bin 0), and those in [low, high] as in BinCounts."""
+
+    def start(self) -> None:
+        super().start(None, None, False)
+        self.below = 0
+
+    def add(self, tile: _Tile, shown: np.ndarray | None) -> None:
+        sims, eps = tile.sims, tile.eps
+        under = sims < self.low - eps
+        self.below += np.count_nonzero(under)
+        under ^= sims <= self.high + eps
+        values = tile.exact(under)
+        self.below += np.count_nonzero(values < self.low)
+        super().add(0, values, None)
+
+    def result(self) -> dict:
+        first = {"bin": 0, "pairs": self.below, "total": 0.0, "least": np.inf, "greatest": -np.inf}
+        return {name: np.append(first[name], column) for name, column in super().result().items()}
+
+
+def _add_tiles(summary: NearBins | WindowBins, left: np.ndarray, right: np.ndarray, same: bool) -> None:
+    """The similarities of two blocks in single precision, by tiles that stay in a core's cache."""
+    # A row with a value that is no finite number has no similarity.
+    left, right = (block[np.isfinite(block).all(axis=1)] for block in (left, right))
+    # Rounding of d products and their sum, whose terms add up to 1 at most, and of the bins.
+    eps = (left.shape[1] + 16) * 2.0 ** -24
+    short, other = left.astype(np.float32), right.astype(np.float32)
+    for i in range(0, len(left), TILE_ROWS):
+        for j in range(0, len(right), TILE_COLUMNS):
+            upper = None
+            if same and j < i + TILE_ROWS:
+                upper = np.arange(j, min(j + TILE_COLUMNS, len(right))) > np.arange(i, min(i + TILE_ROWS, len(left)))[:, None]
+                if not upper.any():
+                    continue
+            sims = short[i:i + TILE_ROWS] @ other[j:j + TILE_COLUMNS].T
+            if upper is not None:
+                sims[~upper] = np.nan
+            summary.add(_Tile(sims, left[i:i + TILE_ROWS], right[j:j + TILE_COLUMNS], eps), upper)
+
+
+def _block_task(summary: RowSummary | BinCounts | NearBins, table: pa.Table) -> pa.Table:
     """All similarities of one pair of blocks, a strip at a time, summed up and dropped."""
     # A fixed order makes the floating-point results repeatable.
     table = table.sort_by("key")
@@ -246,16 +343,21 @@ def _block_task(summary: RowSummary | BinCounts, table: pa.Table) -> pa.Table:
         left = table.filter(pc.equal(table.column("side"), 0))
         right = table.filter(pc.equal(table.column("side"), 1))
     left_keys, right_keys = left.column("key").to_numpy(), right.column("key").to_numpy()
-    summary.start(left_keys, right_keys, same)
-    if len(left_keys) and len(right_keys):
-        rows, columns = _stack(left.column("unit")), _stack(right.column("unit")).T
-        strip = max(1, STRIP_CELLS // len(right_keys))
-        for at in range(0, len(rows), strip):
-            sims = np.clip(rows[at:at + strip] @ columns, -1.0, 1.0)
-            upper = None
-            if same:
-                upper = np.arange(sims.shape[1]) > (at + np.arange(len(sims)))[:, None]
-            summary.add(at, sims, upper)
+    if isinstance(summary, (NearBins, WindowBins)):
+        summary.start()
+        if len(left_keys) and len(right_keys):
+            _add_tiles(summary, _stack(left.column("unit")), _stack(right.column("unit")), same)
+    else:
+        summary.start(left_keys, right_keys, same)
+        if len(left_keys) and len(right_keys):
+            rows, columns = _stack(left.column("unit")), _stack(right.column("unit")).T
+            strip = max(1, STRIP_CELLS // len(right_keys))
+            for at in range(0, len(rows), strip):
+                sims = np.clip(rows[at:at + strip] @ columns, -1.0, 1.0)
+                upper = None
+                if same:
+                    upper = np.arange(sims.shape[1]) > (at + np.arange(len(sims)))[:, None]
+                summary.add(at, sims, upper)
     fields = pa.schema([
         (name, pa.int64() if kind == "bigint" else pa.float64())
         for name, kind in (field.split() for field in summary.schema.split(", "))
@@ -291,16 +393,16 @@ def block_tasks(df: DataFrame, key: str, vector: str, block_rows: int | None = N
     )
 
 
-def _run_blocks(tasks: DataFrame, summary: RowSummary | BinCounts) -> DataFrame:
+def _run_blocks(tasks: DataFrame, summary: RowSummary | BinCounts | NearBins) -> DataFrame:
     def task(table: pa.Table) -> pa.Table:
         return _block_task(summary, table)
 
     return tasks.groupBy("block_i", "block_j").applyInArrow(task, summary.schema)
 
 
-def _bin_table(tasks: DataFrame, low: float, high: float, bins: int) -> list:
-    """One line per non-empty bin, in order: at most `bins` of them."""
-    return _run_blocks(tasks, BinCounts(low, high, bins)).groupBy("bin").agg(
+def _bin_table(tasks: DataFrame, summary: BinCounts | NearBins) -> list:
+    """One line per non-empty bin, in order: at most as many as the summary has bins."""
+    return _run_blocks(tasks, summary).groupBy("bin").agg(
         F.sum("pairs").alias("pairs"), F.sum("total").alias("total"),
         F.min("least").alias("least"), F.max("greatest").alias("greatest"),
     ).orderBy("bin").collect()
@@ -331,29 +433,36 @@ def similarity_extremes(df: DataFrame, key: str = "row_id", vector: str = "vecto
                         block_rows: int | None = None, bins: int = MEDIAN_BINS) -> DataFrame:
     """(min, max, median) of the cosine of all pairs i<j.
 
-    The first pass counts the pairs in bins of [-1, 1], the second splits the
-    bin of the median again; by then a bin is narrower than 1e-9.
+    The first pass counts the pairs in bins of [-1, 1] by similarities in single precision, whose error has a
+    bound, and finds the exact ends.  An order statistic moves by no more than that error, so the median lies in
+    its bin, widened by it: the second pass counts the pairs below, exactly, and splits that window; by then a bin
+    is narrower than 1e-8 (1e-9 up to some 200 dimensions).
     """
     require_columns(df, key, vector)
     tasks = block_tasks(df, key, vector, block_rows)
-    table = _bin_table(tasks, -1.0, 1.0, bins)
+    table = _bin_table(tasks, NearBins(bins))
     values = (None, None, None)
     if table:
         pairs = sum(row["pairs"] for row in table)
-        width = 2.0 / bins
+        size = df.agg(F.max(F.size(vector))).first()[0]
+        width, margin = 2.0 / bins, (size + 16) * 2.0 ** -24
         found, split = [], {}
-        for rank in {(pairs - 1) // 2, pairs // 2}:
+        for rank in sorted({(pairs - 1) // 2, pairs // 2}):
+            left = rank
             for row in table:
-                if rank < row["pairs"]:
+                if left < row["pairs"]:
                     break
-                rank -= row["pairs"]
+                left -= row["pairs"]
             low = -1.0 + (row["bin"] - 1) * width
             if row["bin"] not in split:
-                split[row["bin"]] = _bin_table(tasks, low, low + width, bins)
+                split[row["bin"]] = _bin_table(tasks, WindowBins(max(-1.0, low - margin), min(1.0, low + width + margin), bins))
+            left = rank
             for part in split[row["bin"]]:
-                if rank < part["pairs"]:
+                if left < part["pairs"]:
                     break
-                rank -= part["pairs"]
+                left -= part["pairs"]
+            if part["bin"] == 0 or left >= part["pairs"]:
+                raise ArithmeticError("the median lies outside its window")
             found.append(part["total"] / part["pairs"])
         values = (
             min(row["least"] for row in table), max(row["greatest"] for row in table),
@@ -383,7 +492,7 @@ def similarity_histogram(df: DataFrame, key: str = "row_id", vector: str = "vect
     """(bin, low, high, pairs): `bins` equal bins from the least to the greatest similarity."""
     require_columns(df, key, vector)
     tasks = block_tasks(df, key, vector, block_rows)
-    ends = _bin_table(tasks, -1.0, 1.0, 1)
+    ends = _bin_table(tasks, BinCounts(-1.0, 1.0, 1))
     low, high = (ends[0]["least"], ends[0]["greatest"]) if ends else (0.0, 0.0)
     counts = _run_blocks(tasks, BinCounts(low, high, bins)).groupBy("bin").agg(F.sum("pairs").alias("pairs"))
     width = (high - low) / bins
